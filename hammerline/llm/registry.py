@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_runs, packing, topk, url_cascade
+from . import langid, line_runs, packing, simhash, topk, toxicity, url_cascade
 from .shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -15,9 +15,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 def queries() -> dict[str, Query]:
     return {
         "op1_url_filter": lambda s, d: url_cascade.op1_url_filter(table(s, d, "pages")),
+        "op2_toxicity": lambda s, d: toxicity.op2_toxicity(table(s, d, "documents"), table(s, d, "labels")),
         "op3_best_fit_packing": lambda s, d: packing.op3_best_fit_packing(table(s, d, "documents")),
+        "op5_simhash": lambda s, d: simhash.op5_simhash(table(s, d, "documents")),
         "op6_line_dedup": lambda s, d: line_runs.op6_line_dedup(table(s, d, "documents")),
         "op9_exact_topk": lambda s, d: topk.op9_exact_topk(table(s, d, "embeddings")),
+        "op10_language_id": lambda s, d: langid.op10_language_id(table(s, d, "documents")),
     }
 
 

@@ -22,7 +22,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .shared import UPPER, stage
@@ -141,6 +141,12 @@ def candidate_keys(host: Column, path: Column, labels: int, starts: list[int]) -
     return F.array_distinct(F.filter(pairs, lambda k: k.isNotNull()))
 
 
+def _keys_of(spark: SparkSession, keys) -> DataFrame:
+    """The values as a DataFrame, made in the JVM."""
+    values = F.array(*[F.lit(k) for k in keys]).cast("array<string>")
+    return spark.range(1).select(F.explode(values).alias("key"))
+
+
 def filter_urls(
     pages: DataFrame,
     rules: tuple[tuple[str, str], ...] = RULES,
@@ -151,7 +157,7 @@ def filter_urls(
     ``listed_hosts``: hosts to block, as values or as a DataFrame with the column key."""
     spark = pages.sparkSession
     if not isinstance(listed_hosts, DataFrame):
-        listed_hosts = spark.createDataFrame([(h,) for h in listed_hosts], "key string")
+        listed_hosts = _keys_of(spark, listed_hosts)
     listed_hosts = listed_hosts.select("key").distinct()
     deepest = listed_hosts.agg(F.max(F.size(F.split("key", r"\.", -1)))).first()[0] or 1
     labels = max([deepest, *(len(r.split("/", 1)[0].split(".")) for r, _ in rules)])
@@ -162,7 +168,7 @@ def filter_urls(
     universe = stage(keyed.select(F.explode("_keys").alias("key")).distinct(), "universe")
     kinds = {}
     for verdict in ("block", "allow"):
-        own = spark.createDataFrame([(r,) for r, v in rules if v == verdict], "key string").distinct()
+        own = _keys_of(spark, [r for r, v in rules if v == verdict]).distinct()
         kinds[verdict] = build_cascades(own, universe, max_filter_bytes)
     listed = build_cascades(listed_hosts, universe, max_filter_bytes)
     hits = F.transform(
