@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, line_runs, packing, simhash, topk, toxicity, url_cascade
+from . import decontam, html_text, langid, line_runs, packing, pii, simhash, topk, toxicity, url_cascade
 from .shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,10 +18,16 @@ def queries() -> dict[str, Query]:
         "op1_url_filter": lambda s, d: url_cascade.op1_url_filter(table(s, d, "pages")),
         "op2_toxicity": lambda s, d: toxicity.op2_toxicity(table(s, d, "documents"), table(s, d, "labels")),
         "op3_best_fit_packing": lambda s, d: packing.op3_best_fit_packing(table(s, d, "documents")),
+        "op4_personal_data": lambda s, d: pii.op4_personal_data(table(s, d, "documents")),
         "op5_simhash": lambda s, d: simhash.op5_simhash(table(s, d, "documents")),
         "op6_line_dedup": lambda s, d: line_runs.op6_line_dedup(table(s, d, "documents")),
+        "op7_html_text": lambda s, d: html_text.op7_html_text(table(s, d, "pages")),
+        "op8_decontamination": lambda s, d: decontam.op8_decontamination(
+            table(s, d, "documents"), table(s, d, "benchmark")
+        ),
         "op9_exact_topk": lambda s, d: topk.op9_exact_topk(table(s, d, "embeddings")),
         "op10_language_id": lambda s, d: langid.op10_language_id(table(s, d, "documents")),
+        "pipeline": corpus_pipeline.run,
     }
 
 
