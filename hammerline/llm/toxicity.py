@@ -95,11 +95,13 @@ class Model:
 
 def contexts(texts: list[str]) -> Counter:
     """How many different words precede each word."""
-    pairs: set[tuple[bytes, bytes]] = set()
+    numbers: dict[bytes, int] = {}
+    pairs = [np.zeros(0, dtype=np.int64)]
     for text in texts:
-        words = words_of(text)
-        pairs.update(zip(words, words[1:]))
-    return Counter(word for _, word in pairs)
+        own = np.array([numbers.setdefault(w, len(numbers)) for w in words_of(text)], dtype=np.int64)
+        pairs.append(np.unique((own[:-1] << 32) | own[1:]))
+    each = np.bincount(np.unique(np.concatenate(pairs)) & 0xFFFFFFFF, minlength=len(numbers))
+    return Counter({word: int(each[i]) for word, i in numbers.items() if each[i]})
 
 
 def telling(own: Counter, other: Counter, ratio: float = 20, least: int = 3, z: float = 4) -> list[bytes]:
