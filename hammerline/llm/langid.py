@@ -100,10 +100,13 @@ def learn(
 ) -> Model:
     """FTRL-proximal on four fifths of the rows, the temperature on the rest."""
     model = Model(sorted(set(langs)), idf)
-    rows = [(c, model.langs.index(lang)) for t, lang in zip(texts, langs) if (c := gram_counts(t)) is not None]
+    rows = [
+        (model.vector(counts), model.langs.index(lang))  # sparse: dense counts would not fit for all rows
+        for text, lang in zip(texts, langs)
+        if (counts := gram_counts(text)) is not None
+    ]
     if not rows:
         return Model([], idf)
-    rows = [(model.vector(c), y) for c, y in rows]
     kept = rows[::5] if len(rows) >= 20 else rows
     taught = [r for i, r in enumerate(rows) if i % 5] if len(rows) >= 20 else rows
     classes = len(model.langs)
