@@ -9,29 +9,30 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SOLD = F.col("sold")
-PRICE = F.col("final_price")
+
+def sold_price() -> Column:
+    return F.when(F.col("sold"), F.col("final_price"))
 
 
 def sold_count(name: str = "lots_sold") -> Column:
-    return F.count(F.when(SOLD, F.lit(1))).alias(name)
+    return F.count_if("sold").alias(name)
 
 
 def sold_sum(name: str = "total_sales") -> Column:
-    return F.sum(F.when(SOLD, PRICE)).cast("double").alias(name)
+    return F.sum(sold_price()).cast("double").alias(name)
 
 
 def sold_mean(name: str = "avg_sale_price") -> Column:
-    value = F.when(SOLD, PRICE)
+    value = sold_price()
     return F.try_divide(F.sum(value).cast("double"), F.count(value)).alias(name)
 
 
 def sold_max(name: str = "max_sale_price") -> Column:
-    return F.max(F.when(SOLD, PRICE)).cast("double").alias(name)
+    return F.max(sold_price()).cast("double").alias(name)
 
 
 def sold_min(name: str = "min_sale_price") -> Column:
-    return F.min(F.when(SOLD, PRICE)).cast("double").alias(name)
+    return F.min(sold_price()).cast("double").alias(name)
 
 
 def rate_or_null(part: Column, whole: Column) -> Column:

@@ -113,7 +113,7 @@ def auction_rollup(m: Market) -> DataFrame:
         F.sum("estimated_price_min").cast("double").alias("total_estimate_min"),
         F.sum("estimated_price_max").cast("double").alias("total_estimate_max"),
         M.sold_sum("total_realized"),
-        F.count(F.when(M.SOLD, F.lit(1))).alias("n_sold"),
+        M.sold_count("n_sold"),
     )
     rate = F.round(F.col("n_sold") * F.lit("100.0").cast("decimal(4,1)") / F.col("n"), 2).cast("double")
     return m.auctions.select("id").join(per, F.col("id") == F.col("auction_id"), "left").select(

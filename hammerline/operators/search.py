@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.predicates import at_least, at_most, like, page, where
@@ -47,21 +47,25 @@ def search_texts(docs: DataFrame, query: str, limit: int = 20) -> DataFrame:
     return found.select("doc_id", "rank").orderBy(F.desc("rank"), "doc_id").limit(limit)
 
 
-@F.pandas_udf("array<string>")
-def stemmed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    """Stems of token arrays without stop words; stems are remembered within a task."""
-    known: dict[str, str] = {}
+def stemmed(words: Column) -> Column:
+    """Stems of token arrays without stop words; a task remembers the stems it has made."""
 
-    def of(word: str) -> str:
-        found = known.get(word)
-        if found is None:
-            if len(known) > 200_000:
-                known.clear()
-            found = known[word] = stem(word)
-        return found
+    @F.pandas_udf("array<string>")
+    def stems(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known: dict[str, str] = {}
 
-    for series in batches:
-        yield pd.Series([[of(w) for w in words if w not in STOP_WORDS] for words in series])
+        def of(word: str) -> str:
+            found = known.get(word)
+            if found is None:
+                if len(known) > 200_000:
+                    known.clear()
+                found = known[word] = stem(word)
+            return found
+
+        for series in batches:
+            yield pd.Series([[of(w) for w in own if w not in STOP_WORDS] for own in series])
+
+    return stems(words)
 
 
 def search_texts_stemmed(docs: DataFrame, query: str, limit: int = 20) -> DataFrame:
