@@ -129,45 +129,54 @@ def fit(counts: np.ndarray, ways: np.ndarray, rounds: int = 400) -> np.ndarray:
     return x
 
 
-def plan(counts: np.ndarray, limit: int) -> list[tuple[list[int], int]]:
-    """(lengths, repeats) that use up the histogram exactly."""
-    left = counts.astype(np.int64).copy()
-    left[0] = 0
-    chosen: list[tuple[list[int], int]] = []
-
-    def use(lengths: list[int], most: int) -> None:
-        values, needs = np.unique(lengths, return_counts=True)
-        repeats = int(min(most, (left[values] // needs).min()))
-        if repeats > 0:
-            left[values] -= repeats * needs
-            chosen.append((lengths, repeats))
-
-    if left.sum():
-        if left[limit]:
-            use([limit], int(left[limit]))
-        ways = patterns(limit)
-        ways = ways[1:][((left[ways[1:]] > 0) | (ways[1:] == 0)).all(1)]
-        x = fit(left, ways) if len(ways) else np.zeros(0)
-        for i in np.argsort(-x, kind="stable"):
-            if x[i] < 1:
-                break
-            use([int(v) for v in ways[i] if v], int(x[i]))
-    while left.any():  # best fit: each round uses up a length, so there are at most `limit` rounds
+def best_fit(left: np.ndarray, limit: int) -> list[tuple[list[int], int]]:
+    """Fills a sequence with the largest lengths that fit and repeats it until one of its
+    lengths is used up, so there are at most ``limit`` rounds whatever the counts."""
+    chosen = []
+    while left.any():
         lengths: list[int] = []
         room, spare = limit, left.copy()
-        while True:
-            fitting = np.flatnonzero(spare[: room + 1])
-            if not len(fitting):
-                break
+        while room > 0 and len(fitting := np.flatnonzero(spare[: room + 1])):
             lengths.append(int(fitting[-1]))
             spare[fitting[-1]] -= 1
             room -= lengths[-1]
-            if room <= 0:
-                break
-        use(lengths, 2**62)
+        chosen.append((lengths, take(left, lengths, 2**62)))
     return chosen
 
 
+def take(left: np.ndarray, lengths: list[int], most: int) -> int:
+    """Uses a pattern up to ``most`` times; returns how often."""
+    repeats = int(min(most, *(left[v] // lengths.count(v) for v in lengths)))
+    for v in lengths:
+        left[v] -= repeats
+    return repeats
+
+
+def plan(counts: np.ndarray, limit: int) -> list[tuple[list[int], int]]:
+    """(lengths, repeats) that use up the histogram exactly.
+
+    Patterns of up to two and of up to three lengths are fitted, each fit is rounded down
+    and completed by best fit; the plan with fewer sequences is taken."""
+    full = counts.astype(np.int64).copy()
+    full[0] = 0
+    plans = []
+    every = patterns(limit)[1:]
+    for ways in (every[every[:, 2] == 0], every):
+        left = full.copy()
+        chosen = [([limit], take(left, [limit], 2**62))] if left[limit] else []
+        for _ in range(2):
+            ways = ways[((left[ways] > 0) | (ways == 0)).all(1)]
+            if not len(ways):
+                break
+            x = fit(left, ways)
+            for i in np.argsort(-x, kind="stable")[: int((x >= 1).sum())]:
+                lengths = [int(v) for v in ways[i] if v]
+                if repeats := take(left, lengths, int(x[i])):
+                    chosen.append((lengths, repeats))
+        plans.append(chosen + best_fit(left, limit))
+    return min(plans, key=lambda p: sum(r for _, r in p))
+
+
 def slots(chosen: list[tuple[list[int], int]]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For each length: first rank, first sequence and offset of each of its places."""
     found: dict[int, list[tuple[int, int, int]]] = {}
