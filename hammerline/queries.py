@@ -126,6 +126,32 @@ def _parsed_pages(s: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _shop_text(m: Market) -> DataFrame:
+    """Auctions with texts as pages print them, to be parsed back."""
+    amount = F.col("total_realized").cast("string")
+    day = F.date_format("start_date", "d")
+    month = F.element_at(F.array(*[F.lit(x) for x in P.MONTHS]), F.month("start_date"))
+    return m.auctions.select(
+        "id",
+        F.concat(F.lit("$"), amount).alias("price"),
+        F.concat(F.lit("$"), amount, F.lit(" - $"), F.col("id").cast("string"), F.when(F.col("status") == "completed", " VENDIDO").otherwise("")).alias("range"),
+        F.when(F.col("id") % 2 == 0, F.date_format("start_date", "dd/MM/yyyy")).otherwise(F.date_format("start_date", "yyyy-MM-dd HH:mm")).alias("date"),
+        F.concat(day, F.lit(" de "), month, F.lit(" de "), F.date_format("start_date", "yyyy"), F.lit(" 19:30, hasta "),
+                 F.date_format("start_date", "dd/MM/yyyy"), F.lit(" 21:00")).alias("dates"),
+    )
+
+
+def _part_text(s: SparkSession, d: str) -> DataFrame:
+    size = F.col("p_size").cast("string")
+    kind = F.when(F.col("p_partkey") % 3 == 0, "Óleo sobre tela, pintura").when(F.col("p_partkey") % 3 == 1, "Tinta, grabado").otherwise("Madera")
+    return read_table(s, d, "part").select(
+        F.col("p_partkey").alias("id"),
+        F.concat(F.lit("Cuadro de "), F.initcap("p_name"), F.lit(" (1886)")).alias("artist"),
+        F.concat(kind, F.lit(", "), size, F.lit(" x "), size, F.lit(" cm")).alias("details"),
+        F.concat(F.lit('<img src="/'), size, F.lit('.jpg"><p><img class="x" data-src="//cdn/'), size, F.lit('.png"></p>')).alias("html"),
+    )
+
+
 def market_queries() -> dict[str, Callable[[Market], DataFrame]]:
     found: dict[str, Callable[[Market], DataFrame]] = {
         "summary_stats": A.summary,
@@ -239,6 +265,14 @@ def market_queries() -> dict[str, Callable[[Market], DataFrame]]:
         "event_keys": lambda m: m.changes.select("id", "key"),
         "top_artists_null_first": lambda m: A.top_artists(m, start="2001-07-29 00:00:00"),
     }
+    found |= {
+        "parse_price": lambda m: _shop_text(m).select("id", P.parse_price(F.col("price")).alias("price")),
+        "parse_price_info": lambda m: _shop_text(m).withColumn("p", P.parse_price_info(F.col("range"))).select(
+            "id", "p.min_price", "p.max_price", "p.sold", F.coalesce("p.final_price", F.lit(0.0)).alias("final_price")
+        ),
+        "parse_date": lambda m: _shop_text(m).select("id", P.parse_date(F.col("date")).alias("date")),
+        "extract_dates": lambda m: _shop_text(m).withColumn("d", P.extract_dates(F.col("dates"))).select("id", "d.start", "d.end"),
+    }
     for metric in ("total_sales", "avg_price", "lot_count"):
         found[f"top_artists_{metric}"] = lambda m, k=metric: A.top_artists(m, k)
         found[f"top_categories_{metric}"] = lambda m, k=metric: A.top_categories(m, k)
@@ -258,6 +292,9 @@ def queries() -> dict[str, Query]:
         "parsed_pages": _parsed_pages,
         "extract_external_id": lambda s, d: pages(s, d).select("page_id", P.external_id(F.col("url")).alias("external_id")),
         "classify_page_type": lambda s, d: pages(s, d).select("page_id", P.page_type(F.col("html")).alias("auction_type")),
+        "extract_artist": lambda s, d: _part_text(s, d).select("id", P.extract_artist(F.col("artist")).alias("artist")),
+        "extract_lot_details": lambda s, d: _part_text(s, d).withColumn("x", P.lot_details(F.col("details"))).select("id", "x.*"),
+        "extract_images": lambda s, d: _part_text(s, d).select("id", F.explode(H.images(F.col("html"), "https://h")).alias("image")),
         "event_windows": _windows,
         "event_sessions": _sessions,
     }
