@@ -30,7 +30,7 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-DIGITS = re.compile(r"[0-9][A-Za-z0-9_-]*")
+CODE = re.compile(r"[0-9][A-Za-z0-9_-]*|[A-Z]{12}[A-Za-z0-9_-]*")
 KINDS = ("email", "ip", "card", "phone", "secret")
 #: Forms that are known to be identifiers: long hexadecimal tokens, access key ids.
 SEEDS = (r"[0-9a-f]{40}", r"AKIA[0-9A-Z]{16}")
@@ -93,7 +93,7 @@ def candidates(text: str, taken: dict[str, list[Span]]) -> list[tuple[int, int,
     """(start, end, token, characters before, make-up) of identifier-like tokens."""
     found, last = [], 0
     spans = sorted(s for own in taken.values() for s in own)
-    for m in DIGITS.finditer(text):
+    for m in CODE.finditer(text):
         start, end = m.span()
         if start < last:
             continue
@@ -101,7 +101,7 @@ def candidates(text: str, taken: dict[str, list[Span]]) -> list[tuple[int, int,
             start -= 1
         last = end
         token = text[start:end]
-        if end - start < LEAST or token.isdigit() or not any("0" <= c <= "9" for c in token):
+        if end - start < LEAST or not any(c > "9" for c in token):  # "-" and digits only: a number
             continue
         if any(a < end and start < b for a, b in spans):
             continue
