@@ -133,7 +133,7 @@ def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 0.5, rounds: int = 4
     return w
 
 
-def fit(toxic: list[str], ordinary: list[str], shared_bytes: int = 65_536, own_bytes: int = 8_192) -> Model:
+def fit(toxic: list[str], ordinary: list[str], shared_bytes: int = 180_000, own_bytes: int = 8_192) -> Model:
     """Dictionaries from the even rows of each class, thresholds from the odd ones."""
     total = len(toxic) + len(ordinary)
     if len(toxic) < 2 or len(ordinary) < 2:
@@ -212,7 +212,7 @@ def score_documents(
 
 
 def op2_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    held_out = crc32_mod(F.col("doc_id"), 5) == 0
+    held_out = F.coalesce(crc32_mod(F.col("doc_id"), 5) == 0, F.lit(False))
     scored = score_documents(docs.select("doc_id", "text"), labels, learn_from=~held_out)
     return scored.select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
