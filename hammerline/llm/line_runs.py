@@ -40,10 +40,14 @@ def _hashed(key: Column) -> Column:
 
 
 class LineRuns:
-    """The levels of sorted runs.  ``admit`` takes (h1, h2, doc_id) rows."""
+    """The levels of sorted runs.  ``admit`` takes (h1, h2, doc_id) rows.
 
-    def __init__(self, spark: SparkSession, fanout: int = 2, buckets: int = 16):
-        self.spark, self.fanout, self.buckets = spark, fanout, buckets
+    With as many buckets as shuffle partitions (the default) a bucket is one file, and a
+    batch that is grouped by key meets a run without a further exchange on either side."""
+
+    def __init__(self, spark: SparkSession, fanout: int = 2, buckets: int | None = None):
+        self.spark, self.fanout = spark, fanout
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[DataFrame]] = []
         self.tallies: list[DataFrame] = []
 
@@ -115,7 +119,7 @@ def dedup_lines(
     min_docs: int = 3,
     batches: int = 4,
     fanout: int = 2,
-    buckets: int = 16,
+    buckets: int | None = None,
 ) -> DataFrame:
     """``docs`` with the columns clean_text, n_lines and n_dropped added.
 
