@@ -68,7 +68,7 @@ class Model:
     def vector(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at = np.flatnonzero(counts)
         values = np.log1p(counts[at]) * self.idf[at]
-        return at, values / max(1e-12, float(np.sqrt(values @ values)))
+        return at.astype(np.int32), (values / max(1e-12, float(np.sqrt(values @ values)))).astype(np.float32)
 
     def logits(self, counts: np.ndarray) -> np.ndarray:
         at, values = self.vector(counts)
@@ -136,7 +136,7 @@ def learn(
     def loss(t: float) -> float:
         return float(-np.log(softmax(logits / t)[np.arange(len(truth)), truth] + 1e-12).mean())
 
-    model.temperature = min(np.geomspace(0.05, 5, 60), key=loss)
+    model.temperature = min(np.geomspace(0.5, 5, 40), key=loss)
     return model
 
 
@@ -166,17 +166,21 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
     return out, total
 
 
-def train(docs: DataFrame, learn_from: Column, max_docs: int = 1_500, max_chars: int = 20_000) -> Model:
+def train(docs: DataFrame, learn_from: Column, max_docs: int = 600, max_chars: int = 20_000) -> Model:
     from pyspark.sql import Window
 
     may = docs.filter(learn_from)
     df, total = document_frequencies(may)
     idf = np.log((1 + total) / (1 + df)) + 0.05
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    first = F.row_number().over(Window.partitionBy("lang", "_salt").orderBy(*order))  # a hot language in 64 parts
+    then = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
     ids = (
         may.filter((F.char_length("text") <= max_chars) & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-        .select("doc_id", "lang")
-        .withColumn("_n", F.row_number().over(order))
+        .select("doc_id", "lang", F.pmod(F.xxhash64(F.lit(1), F.col("doc_id")), F.lit(64)).alias("_salt"))
+        .withColumn("_n", first)
+        .filter(F.col("_n") <= max_docs)
+        .withColumn("_n", then)
         .filter(F.col("_n") <= max_docs)
         .select("doc_id")
         .distinct()
@@ -192,7 +196,7 @@ def train(docs: DataFrame, learn_from: Column, max_docs: int = 1_500, max_chars:
     return learn(rows["text"].tolist(), rows["lang"].tolist(), idf)
 
 
-def identify(docs: DataFrame, learn_from: Column | None = None, max_docs: int = 1_500) -> DataFrame:
+def identify(docs: DataFrame, learn_from: Column | None = None, max_docs: int = 600) -> DataFrame:
     """``docs`` with lang_pred and lang_score."""
     may = F.lit(True) if learn_from is None else learn_from
     model = train(docs, may, max_docs)
@@ -210,6 +214,6 @@ def identify(docs: DataFrame, learn_from: Column | None = None, max_docs: int =
 
 
 def op10_language_id(docs: DataFrame) -> DataFrame:
-    held_out = crc32_mod(F.col("doc_id"), 4) == 2
+    held_out = F.coalesce(crc32_mod(F.col("doc_id"), 4) == 2, F.lit(False))
     found = identify(docs.select("doc_id", "text", "lang"), learn_from=~held_out)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
