@@ -60,29 +60,22 @@ def high_value_lots(m: Market, least: int = 10_000, limit: int = 50) -> DataFram
 
 def similar_lots(m: Market, lot_id: str, limit: int = 10) -> DataFrame:
     """Lots that share artist, category or price range (half to one and a half times the
-    reference price) with one lot, by additive score.  The reference is one row that joins
-    by broadcast; an unknown artist matches nobody."""
+    reference price) with one lot, by additive score.  The one reference row is looked up
+    first, so its values are constants that reach the scan; an unknown artist matches nobody."""
 
     def price(name: str):
         return F.nullif(F.col(name), F.lit(0).cast("decimal(12,2)"))
 
     base = F.coalesce(price("final_price"), price("estimated_price_max"), price("estimated_price_min"), F.lit(1000).cast("decimal(12,2)"))
-    ref = (
-        m.lots.filter(F.col("id") == lot_id)
-        .limit(1)
-        .select(
-            F.col("id").alias("r_id"), F.col("artist_id").alias("r_artist"), F.col("category_id").alias("r_category"),
-            (base * F.lit(Decimal("0.5"))).alias("low"), (base * F.lit(Decimal("1.5"))).alias("high"),
-        )
-    )
-    near = F.col("final_price").between(F.col("low"), F.col("high"))
-    same_artist, same_category = F.col("artist_id") == F.col("r_artist"), F.col("category_id") == F.col("r_category")
+    ref = m.lots.filter(F.col("id") == lot_id).select("artist_id", "category_id", base.alias("price")).first()
+    if ref is None:
+        return _lots(lots_enriched(m).withColumn("similarity_score", F.lit(0)).filter(F.lit(False)), "similarity_score")
+    low, high = (F.lit(ref["price"] * Decimal(x)).cast("decimal(14,3)") for x in ("0.5", "1.5"))
+    near = F.col("final_price").between(low, high)
+    same_artist = F.col("artist_id") == F.lit(ref["artist_id"]).cast("long")
+    same_category = F.col("category_id") == F.lit(ref["category_id"]).cast("long")
     score = F.when(same_artist, 3).otherwise(0) + F.when(same_category, 2).otherwise(0) + F.when(near, 1).otherwise(0)
-    found = (
-        lots_enriched(m)
-        .join(F.broadcast(ref), (F.col("id") != F.col("r_id")) & (same_artist | same_category | near))
-        .withColumn("similarity_score", score)
-    )
+    found = lots_enriched(m).filter((F.col("id") != lot_id) & (same_artist | same_category | near)).withColumn("similarity_score", score)
     ordered = found.orderBy(F.desc("similarity_score"), F.col("final_price").desc_nulls_last(), "id")
     return _lots(ordered.limit(limit), "similarity_score")
 

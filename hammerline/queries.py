@@ -59,15 +59,13 @@ def _new_lots(m: Market) -> DataFrame:
 
 def _find_or_create(m: Market) -> DataFrame:
     names = m.changes.select(F.concat(F.lit("supplier#"), F.lpad(F.col("house_id").cast("string"), 9, "0")).alias("name"))
-    found = C.find_or_create(m.artists, names)
+    found = C.find_or_create(m.artists, names).select("created", "id").unionByName(m.artists.select(F.lit(None).cast("boolean").alias("created"), "id"))
     return found.agg(
-        F.count(F.lit(1)).alias("names"),
+        F.count("created").alias("names"),
         F.count_if(~F.col("created")).alias("found"),
         F.count_if("created").alias("created"),
-        F.max("id").alias("_last"),
-    ).join(F.broadcast(m.artists.agg(F.max("id").alias("_top"))), F.lit(True)).select(
-        "names", "found", "created", F.greatest("_last", "_top").alias("last_id")
-    )
+        F.max("id").alias("last_id"),
+    )
 
 
 def _cascade(m: Market) -> DataFrame:
