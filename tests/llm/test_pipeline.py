@@ -3,9 +3,8 @@
 import pytest
 
 import corpus_pipeline
-from conftest import SF
+from compare import SF
 from hammerline.llm import decontam, langid, packing, shared
-from test_lines import brute as _  # noqa: F401
 from test_packing import check
 from test_simhash import slow_classes, slow_fingerprint
 
