@@ -23,6 +23,7 @@ whole class has none; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -156,7 +157,7 @@ def trie_join(x: np.ndarray, split: int, depth: int, budget: int) -> np.ndarray:
     return label
 
 
-def link_forest(distinct: DataFrame, budget: int = 4, node_rows: int = 100_000, least_depth: int = 3) -> DataFrame:
+def link_forest(distinct: DataFrame, budget: int = 4, node_rows: int = 25_000, least_depth: int = 3) -> DataFrame:
     """(u, v): a spanning forest of each node pair's links between distinct fingerprints (fp)."""
     number = distinct.count()
     depth = least_depth
@@ -183,7 +184,9 @@ def link_forest(distinct: DataFrame, budget: int = 4, node_rows: int = 100_000,
         signed = x.view(np.int64)
         return pd.DataFrame({"u": signed[moved], "v": signed[label[moved]]})
 
-    return pairs.groupBy("a", "b").applyInPandas(group, "u long, v long")
+    # small in bytes and long in work, so the groups are dealt out before they could be coalesced
+    tasks = min(4096, sum(comb(depth, k) for k in range(budget + 1)) << depth >> 1)
+    return pairs.repartition(max(1, tasks // 2), "a", "b").groupBy("a", "b").applyInPandas(group, "u long, v long")
 
 
 def close_classes(edges: DataFrame) -> DataFrame:
@@ -207,7 +210,7 @@ def close_classes(edges: DataFrame) -> DataFrame:
         pairs = stage(small.unionByName(least.select("x", F.col("m").alias("y"))).distinct(), "edges")
 
 
-def near_duplicates(docs: DataFrame, width: int = 4, budget: int = 4, node_rows: int = 100_000) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 4, budget: int = 4, node_rows: int = 25_000) -> DataFrame:
     """doc_id, fp (signed), component_id: the smallest doc_id of the class."""
     prints = stage(fingerprints(docs, width), "prints")
     nodes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("lowest")), "nodes")
@@ -221,6 +224,7 @@ def near_duplicates(docs: DataFrame, width: int = 4, budget: int = 4, node_rows:
         .select(F.col("x").alias("fp"), "smallest")
     )
     classes = nodes.join(named, "fp", "left").select("fp", F.coalesce("smallest", "lowest").alias("component_id"))
+    classes = stage(classes, "classes")  # so that the join has plain exchanges, which Spark splits where they are skewed
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
