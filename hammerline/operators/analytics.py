@@ -90,9 +90,9 @@ def volume_trends(
     auctions = where(dated(m, *bounds(now, start, end)), equal("house_id", house_id))
     unit = UNITS.get(period, "month")
     return (
-        auctions.join(m.plain_lots.select("id", "auction_id", "sold"), "auction_id", "left")
+        auctions.join(m.plain_lots.select(M.lot_mark(), "auction_id", "sold"), "auction_id", "left")
         .groupBy(F.date_trunc(unit, "start_date").alias("period_date"))
-        .agg(F.countDistinct("auction_id").alias("auction_count"), F.count("id").alias("lot_count"), M.sold_count())
+        .agg(F.countDistinct("auction_id").alias("auction_count"), F.count("lot").alias("lot_count"), M.sold_count())
         .orderBy("period_date")
     )
 
@@ -117,12 +117,12 @@ def _ranked(df: DataFrame, metric: str, least: int, limit: int) -> DataFrame:
 def top_artists(
     m: Market, metric: str = "total_sales", now: str = NOW, start: str | None = None, end: str | None = None, limit: int = 20
 ) -> DataFrame:
-    lots = m.plain_lots.select("id", "auction_id", "artist_id", "sold", "final_price")
+    lots = m.plain_lots.select("auction_id", "artist_id", "sold", "final_price")
     by_artist = (
         lots.join(dated(m, *bounds(now, start, end)), "auction_id")
         .filter(F.col("artist_id").isNotNull())
         .groupBy("artist_id")
-        .agg(F.count("id").alias("total_lots"), M.sold_count(), M.sold_sum(), M.sold_mean(), M.sold_max(),
+        .agg(F.count(F.lit(1)).alias("total_lots"), M.sold_count(), M.sold_sum(), M.sold_mean(), M.sold_max(),
              F.countDistinct("auction_id").alias("auction_appearances"))
     )
     named = m.artists.select(F.col("id"), "name", "nationality")
@@ -133,12 +133,12 @@ def top_artists(
 def top_categories(
     m: Market, metric: str = "total_sales", now: str = NOW, start: str | None = None, end: str | None = None, limit: int = 15
 ) -> DataFrame:
-    lots = m.lots.select("id", "auction_id", "artist_id", "category_id", "sold", "final_price")
+    lots = m.lots.select("auction_id", "artist_id", "category_id", "sold", "final_price")
     by_category = (
         lots.join(dated(m, *bounds(now, start, end)), "auction_id")
         .filter(F.col("category_id").isNotNull())
         .groupBy("category_id")
-        .agg(F.count("id").alias("total_lots"), M.sold_count(), M.sold_sum(), M.sold_mean(),
+        .agg(F.count(F.lit(1)).alias("total_lots"), M.sold_count(), M.sold_sum(), M.sold_mean(),
              F.countDistinct("artist_id").alias("unique_artists"), F.countDistinct("auction_id").alias("auction_count"))
     )
     named = m.categories.select("id", F.col("name").alias("category_name"), "parent_category_id")
@@ -148,12 +148,12 @@ def top_categories(
 
 def house_performance(m: Market, now: str = NOW, start: str | None = None, end: str | None = None) -> DataFrame:
     """Houses with an auction in the period; the rate is NULL without lots."""
-    lots = m.plain_lots.select("id", "auction_id", "artist_id", "sold", "final_price")
+    lots = m.plain_lots.select(M.lot_mark(), "auction_id", "artist_id", "sold", "final_price")
     by_house = (
         dated(m, *bounds(now, start, end))
         .join(lots, "auction_id", "left")
         .groupBy("house_id")
-        .agg(F.countDistinct("auction_id").alias("total_auctions"), F.count("id").alias("total_lots"), M.sold_count(), M.sold_sum(),
+        .agg(F.countDistinct("auction_id").alias("total_auctions"), F.count("lot").alias("total_lots"), M.sold_count(), M.sold_sum(),
              M.sold_mean(), F.countDistinct("artist_id").alias("unique_artists"))
     )
     houses = m.houses.select(F.col("id"), "name", "country")
@@ -196,7 +196,7 @@ def price_prediction(
     base = lots.join(auctions, "auction_id").agg(
         F.try_divide(F.sum("final_price").cast("double"), F.count("final_price")).alias("mean"),
         F.round(F.stddev_samp(F.col("final_price").cast("double")), 4).alias("spread"),
-        F.count("id").alias("sample_size"),
+        F.count(F.lit(1)).alias("sample_size"),
         F.min("start_date").alias("first"),
         F.max("start_date").alias("last"),
     )
@@ -219,9 +219,9 @@ def seasonal_monthly(m: Market, years: int = 3, now: str = NOW) -> DataFrame:
     """By month of the year, over all years; sums and means without sales are 0."""
     auctions = m.auctions.filter(F.col("start_date") >= M.before(now, f"{years} YEARS")).select(F.col("id").alias("auction_id"), "start_date")
     return (
-        auctions.join(m.plain_lots.select("id", "auction_id", "sold", "final_price"), "auction_id", "left")
+        auctions.join(m.plain_lots.select(M.lot_mark(), "auction_id", "sold", "final_price"), "auction_id", "left")
         .groupBy(F.month("start_date").cast("long").alias("month"), F.quarter("start_date").cast("long").alias("quarter"))
-        .agg(F.countDistinct("auction_id").alias("auction_count"), F.count("id").alias("lot_count"),
+        .agg(F.countDistinct("auction_id").alias("auction_count"), F.count("lot").alias("lot_count"),
              F.coalesce(F.sum(F.when(F.col("sold"), F.col("final_price"))).cast("double"), F.lit(0.0)).alias("total_sales"),
              F.coalesce(M.sold_mean(), F.lit(0.0)).alias("avg_price"))
     )
@@ -242,9 +242,9 @@ def geographic(m: Market, now: str = NOW) -> DataFrame:
     houses = m.houses.select(F.col("id").alias("house_id"), "country")
     return (
         auctions.join(houses, "house_id")
-        .join(m.plain_lots.select("id", "auction_id", "sold", "final_price"), "auction_id", "left")
+        .join(m.plain_lots.select(M.lot_mark(), "auction_id", "sold", "final_price"), "auction_id", "left")
         .groupBy("country")
         .agg(F.countDistinct("house_id").alias("house_count"), F.countDistinct("auction_id").alias("auction_count"),
-             F.count("id").alias("lot_count"), M.sold_count(), M.sold_sum(), M.sold_mean("avg_price"))
+             F.count("lot").alias("lot_count"), M.sold_count(), M.sold_sum(), M.sold_mean("avg_price"))
         .orderBy(F.col("total_sales").desc_nulls_last(), "country")
     )

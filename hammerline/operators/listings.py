@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import measures as M
 from ..functions.predicates import at_least, at_most, equal, flag, like, one_of, page, page_numbers, where
 from ..functions.text import natural_number, slugify
-from ..plans.market import NOW, Market, auctions_listed, lots_enriched
+from ..plans.market import NOW, Market, auctions_listed, enrich
 
 LOT_COLUMNS = [
     "id", "auction_id", "lot_number", "title", "artist_id", "category_id", "estimated_price_min", "estimated_price_max",
@@ -33,29 +33,40 @@ def _lots(df: DataFrame, *extra: str) -> DataFrame:
     return as_double(df.select(*LOT_COLUMNS, *extra))
 
 
+def _shown(m: Market, lots: DataFrame, order: list, limit: int, offset: int = 0, *extra: str) -> DataFrame:
+    """A page of lots with everything it shows: rows are ranked on the fact table alone, and
+    only the page is joined to the other tables."""
+    return _lots(enrich(m, page(lots.orderBy(*order), limit, offset)).orderBy(*order), *extra)
+
+
 def lots(
     m: Market, limit: int = 50, offset: int = 0, auction_id: int | None = None, artist_id: int | None = None,
     category_id: int | None = None, house_id: int | None = None, sold: bool | None = None, price_min=None, price_max=None,
 ) -> DataFrame:
     found = where(
-        lots_enriched(m), equal("auction_id", auction_id), equal("artist_id", artist_id), equal("category_id", category_id),
-        equal("house_id", house_id), flag("sold", sold), at_least("final_price", price_min), at_most("final_price", price_max),
+        m.plain_lots, equal("auction_id", auction_id), equal("artist_id", artist_id), flag("sold", sold),
+        at_least("final_price", price_min), at_most("final_price", price_max),
     )
-    return _lots(page(found.orderBy(F.col("created_at").desc_nulls_first(), "id"), limit, offset))
+    if category_id:
+        found = found.join(m.titles.filter(F.col("category_id") == category_id), "part_id", "left_semi")
+    if house_id:
+        own = m.auctions.filter(F.col("house_id") == house_id).select(F.col("id").alias("auction_id"))
+        found = found.join(own, "auction_id", "left_semi")
+    return _shown(m, found, [F.col("created_at").desc_nulls_first(), F.col("id")], limit, offset)
 
 
 def lot(m: Market, lot_id: str) -> DataFrame:
-    return _lots(lots_enriched(m).filter(F.col("id") == lot_id))
+    return _lots(enrich(m, m.plain_lots.filter(F.col("id") == lot_id)))
 
 
 def recent_lots(m: Market, days: int = 30, limit: int = 50, offset: int = 0, now: str = NOW) -> DataFrame:
-    found = lots_enriched(m).filter(F.col("created_at") >= M.before(now, f"{days} DAYS"))
-    return _lots(page(found.orderBy(F.col("created_at").desc_nulls_first(), "id"), limit, offset))
+    found = m.plain_lots.filter(F.col("created_at") >= M.before(now, f"{days} DAYS"))
+    return _shown(m, found, [F.col("created_at").desc_nulls_first(), F.col("id")], limit, offset)
 
 
 def high_value_lots(m: Market, least: int = 10_000, limit: int = 50) -> DataFrame:
-    found = lots_enriched(m).filter(F.col("sold") & (F.col("final_price") >= least))
-    return _lots(page(found.orderBy(F.col("final_price").desc_nulls_first(), "id"), limit))
+    found = m.plain_lots.filter(F.col("sold") & (F.col("final_price") >= least))
+    return _shown(m, found, [F.col("final_price").desc_nulls_first(), F.col("id")], limit)
 
 
 def similar_lots(m: Market, lot_id: str, limit: int = 10) -> DataFrame:
@@ -69,15 +80,14 @@ def similar_lots(m: Market, lot_id: str, limit: int = 10) -> DataFrame:
     base = F.coalesce(price("final_price"), price("estimated_price_max"), price("estimated_price_min"), F.lit(1000).cast("decimal(12,2)"))
     ref = m.lots.filter(F.col("id") == lot_id).select("artist_id", "category_id", base.alias("price")).first()
     if ref is None:
-        return _lots(lots_enriched(m).withColumn("similarity_score", F.lit(0)).filter(F.lit(False)), "similarity_score")
+        return _lots(enrich(m, m.lots.filter(F.lit(False))).withColumn("similarity_score", F.lit(0)), "similarity_score")
     low, high = (F.lit(ref["price"] * Decimal(x)).cast("decimal(14,3)") for x in ("0.5", "1.5"))
     near = F.col("final_price").between(low, high)
     same_artist = F.col("artist_id") == F.lit(ref["artist_id"]).cast("long")
     same_category = F.col("category_id") == F.lit(ref["category_id"]).cast("long")
     score = F.when(same_artist, 3).otherwise(0) + F.when(same_category, 2).otherwise(0) + F.when(near, 1).otherwise(0)
-    found = lots_enriched(m).filter((F.col("id") != lot_id) & (same_artist | same_category | near)).withColumn("similarity_score", score)
-    ordered = found.orderBy(F.desc("similarity_score"), F.col("final_price").desc_nulls_last(), "id")
-    return _lots(ordered.limit(limit), "similarity_score")
+    found = m.lots.filter((F.col("id") != lot_id) & (same_artist | same_category | near)).withColumn("similarity_score", score)
+    return _shown(m, found, [F.desc("similarity_score"), F.col("final_price").desc_nulls_last(), F.col("id")], limit, 0, "similarity_score")
 
 
 def auctions(

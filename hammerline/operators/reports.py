@@ -18,7 +18,7 @@ def _artist_lots(m: Market, artist_id: int) -> DataFrame:
 def artist_basic(m: Market, artist_id: int) -> DataFrame:
     return (
         _artist_lots(m, artist_id)
-        .agg(F.count("id").alias("total_lots"), M.sold_count(), M.sold_sum(), M.sold_mean(), M.sold_min(), M.sold_max(),
+        .agg(F.count(F.lit(1)).alias("total_lots"), M.sold_count(), M.sold_sum(), M.sold_mean(), M.sold_min(), M.sold_max(),
              F.countDistinct("auction_id").alias("total_auctions"), F.countDistinct("house_id").alias("auction_houses"),
              F.min("start_date").alias("first_auction"), F.max("start_date").alias("last_auction"))
         .withColumn("sale_rate", M.rate_or_zero(F.col("lots_sold"), F.col("total_lots")))
@@ -40,7 +40,7 @@ def artist_by_medium(m: Market, artist_id: int) -> DataFrame:
         _artist_lots(m, artist_id)
         .filter(F.col("medium").isNotNull())
         .groupBy("medium")
-        .agg(F.count("id").alias("lot_count"), M.sold_count("sold_count"), M.sold_mean("avg_price"), M.sold_sum())
+        .agg(F.count(F.lit(1)).alias("lot_count"), M.sold_count("sold_count"), M.sold_mean("avg_price"), M.sold_sum())
         .orderBy(F.col("total_sales").desc_nulls_last(), "medium")
     )
 
@@ -49,7 +49,7 @@ def artist_by_house(m: Market, artist_id: int) -> DataFrame:
     return (
         _artist_lots(m, artist_id)
         .groupBy("house_id", "house_name")
-        .agg(F.count("id").alias("total_lots"), M.sold_count("sold_lots"), M.sold_sum(), M.sold_mean("avg_price"))
+        .agg(F.count(F.lit(1)).alias("total_lots"), M.sold_count("sold_lots"), M.sold_sum(), M.sold_mean("avg_price"))
         .filter("total_lots > 0")
         .orderBy(F.col("total_sales").desc_nulls_last(), "house_id")
     )
@@ -82,7 +82,7 @@ def trending_artists(m: Market, days: int = 90, limit: int = 20, now: str = NOW)
 def auction_basic(m: Market, auction_id: int) -> DataFrame:
     return (
         m.lots.filter(F.col("auction_id") == auction_id)
-        .agg(F.count("id").alias("total_lots"), M.sold_count(), M.sold_sum(), M.sold_mean(), M.sold_min(), M.sold_max(),
+        .agg(F.count(F.lit(1)).alias("total_lots"), M.sold_count(), M.sold_sum(), M.sold_mean(), M.sold_min(), M.sold_max(),
              F.sum("estimated_price_min").cast("double").alias("total_estimate_min"),
              F.sum("estimated_price_max").cast("double").alias("total_estimate_max"),
              F.countDistinct("artist_id").alias("unique_artists"), F.countDistinct("category_id").alias("unique_categories"))
@@ -125,7 +125,7 @@ def auction_categories(m: Market, auction_id: int) -> DataFrame:
         m.lots.filter(F.col("auction_id") == auction_id)
         .join(c, "category_id", "left")
         .groupBy("category_id", "category_name")
-        .agg(F.count("id").alias("total_lots"), M.sold_count("sold_lots"), M.sold_sum("category_sales"), M.sold_mean("avg_price"))
+        .agg(F.count(F.lit(1)).alias("total_lots"), M.sold_count("sold_lots"), M.sold_sum("category_sales"), M.sold_mean("avg_price"))
         .filter("total_lots > 0")
         .orderBy(F.col("category_sales").desc_nulls_last(), "category_id")
     )
@@ -158,7 +158,7 @@ def house_categories(m: Market, house_id: int, limit: int = 5) -> DataFrame:
         .join(auctions, "auction_id")
         .join(c, "category_id", "left")
         .groupBy("category_id", "category_name")
-        .agg(F.count("id").alias("lot_count"), M.sold_sum("category_sales"))
+        .agg(F.count(F.lit(1)).alias("lot_count"), M.sold_sum("category_sales"))
         .orderBy(F.col("category_sales").desc_nulls_last(), "category_id")
         .limit(limit)
     )

@@ -8,6 +8,7 @@ them.  Money is decimal inside and double in results; times are UTC without a zo
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,15 +46,21 @@ LOT = T.StructType(
         T.StructField("id", T.StringType(), False),
         T.StructField("auction_id", T.LongType(), False),
         T.StructField("lot_number", T.StringType(), False),
-        T.StructField("title", T.StringType()),
         T.StructField("artist_id", T.LongType()),
-        T.StructField("category_id", T.LongType()),
         T.StructField("medium", T.StringType()),
         T.StructField("sold", T.BooleanType()),
         T.StructField("final_price", T.DecimalType(12, 2)),
         T.StructField("estimated_price_min", T.DecimalType(12, 2)),
         T.StructField("estimated_price_max", T.DecimalType(12, 2)),
         T.StructField("created_at", T.TimestampNTZType()),
+        T.StructField("part_id", T.LongType()),
+    ]
+)
+TITLE = T.StructType(
+    [
+        T.StructField("part_id", T.LongType(), False),
+        T.StructField("title", T.StringType()),
+        T.StructField("category_id", T.LongType()),
     ]
 )
 ARTIST = T.StructType(
@@ -73,23 +80,38 @@ CATEGORY = T.StructType(
 )
 
 
-def money(x: Column) -> Column:
-    return x.cast("decimal(12,2)")
+def cents(x: Column) -> Column:
+    """An amount stored as double, to the nearest cent, as a whole number."""
+    return F.floor(x * 100 + 0.5)
+
+
+def money(whole_cents: Column) -> Column:
+    """Exact money from cents; whole numbers and short decimals stay in generated code."""
+    return (whole_cents.cast("decimal(12,0)") * F.lit(Decimal("0.01"))).cast("decimal(12,2)")
+
+
+def part_of(whole_cents: Column, hundredths: Column) -> Column:
+    """So many hundredths of an amount, rounded half up to a cent."""
+    return F.floor((whole_cents * hundredths + 50) / 100)
 
 
 @dataclass
 class Market:
-    """``plain_lots`` lacks what needs the part table (title, category_id), so that plans
-    without those columns don't join it; ``lots`` has everything."""
+    """``plain_lots`` has a part_id; ``titles`` gives its title and category.  Plans without
+    those don't join, and listings join them to the rows of one page only."""
 
     houses: DataFrame
     auctions: DataFrame
     plain_lots: DataFrame
-    lots: DataFrame
+    titles: DataFrame
     artists: DataFrame
     categories: DataFrame
     changes: DataFrame | None = None
 
+    @cached_property
+    def lots(self) -> DataFrame:
+        return self.plain_lots.join(self.titles, "part_id", "left")
+
     @cached_property
     def spark(self) -> SparkSession:
         return self.houses.sparkSession
@@ -119,8 +141,8 @@ def from_tables(spark: SparkSession, folder: str) -> Market:
     )
     item = read_table(spark, folder, "lineitem")
     sold = F.col("l_returnflag") != "N"
-    price = money(F.col("l_extendedprice"))
-    net = money(price * (F.lit(1).cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)")))
+    price = cents(F.col("l_extendedprice"))
+    net = part_of(price, F.lit(100) - cents(F.col("l_discount")))
     shape = [
         F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]).alias("id"),
         F.col("l_orderkey").alias("auction_id"),
@@ -128,22 +150,20 @@ def from_tables(spark: SparkSession, folder: str) -> Market:
         F.when(F.col("l_linenumber") != 7, F.col("l_suppkey")).alias("artist_id"),
         F.col("l_linestatus").alias("medium"),
         sold.alias("sold"),
-        F.when(sold, net).alias("final_price"),
-        money(price * F.lit("0.80").cast("decimal(4,2)")).alias("estimated_price_min"),
-        money(price * F.lit("1.20").cast("decimal(4,2)")).alias("estimated_price_max"),
+        F.when(sold, money(net)).alias("final_price"),
+        money(part_of(price, F.lit(80))).alias("estimated_price_min"),
+        money(part_of(price, F.lit(120))).alias("estimated_price_max"),
         F.col("l_shipdate").alias("created_at"),
+        F.col("l_partkey").alias("part_id"),
     ]
     part = read_table(spark, folder, "part")
     brand = F.regexp_extract("p_brand", r"([0-9]+)$", 1).cast("long")
-    named = part.select("p_partkey", F.col("p_name").alias("title"), F.col("p_brand"))
+    titles = part.select(F.col("p_partkey").alias("part_id"), F.col("p_name").alias("title"), brand.alias("category_id"))
     categories = (
         part.select(brand.alias("id"), F.col("p_brand").alias("name"))
         .distinct()
         .withColumn("parent_category_id", F.expr("(id - 1) div 5"))
     )
-    lots = item.join(named, item["l_partkey"] == named["p_partkey"], "left").select(
-        *shape, "title", brand.alias("category_id")
-    )
     supplier = read_table(spark, folder, "supplier")
     artists = supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"]).select(
         F.col("s_suppkey").alias("id"),
@@ -159,18 +179,23 @@ def from_tables(spark: SparkSession, folder: str) -> Market:
         F.col("value"),
         F.get_json_object("props", "$.k").alias("key"),
     )
-    return Market(houses, auctions, item.select(*shape), lots, artists, categories, events)
+    return Market(houses, auctions, item.select(*shape), titles, artists, categories, events)
 
 
-def lots_enriched(m: Market) -> DataFrame:
-    """The denormalised listing view: four left joins, lots preserved."""
+def enrich(m: Market, lots: DataFrame) -> DataFrame:
+    """Left joins to everything a listing shows of ``lots``, which all stay."""
+    if "title" not in lots.columns:
+        lots = lots.join(m.titles, "part_id", "left")
     a = m.artists.select(F.col("id").alias("artist_id"), F.col("name").alias("artist_name"))
     c = m.categories.select(F.col("id").alias("category_id"), F.col("name").alias("category_name"))
     au = m.auctions.select(F.col("id").alias("auction_id"), "house_id", F.col("title").alias("auction_title"), "start_date")
     h = m.houses.select(F.col("id").alias("house_id"), F.col("name").alias("house_name"))
-    return (
-        m.lots.join(a, "artist_id", "left").join(c, "category_id", "left").join(au, "auction_id", "left").join(h, "house_id", "left")
-    )
+    return lots.join(a, "artist_id", "left").join(c, "category_id", "left").join(au, "auction_id", "left").join(h, "house_id", "left")
+
+
+def lots_enriched(m: Market) -> DataFrame:
+    """The denormalised view of all lots."""
+    return enrich(m, m.plain_lots)
 
 
 def auctions_listed(m: Market) -> DataFrame:

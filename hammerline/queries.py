@@ -124,6 +124,12 @@ def _parsed_pages(s: SparkSession, d: str) -> DataFrame:
     )
 
 
+def _trend_text(m: Market) -> DataFrame:
+    """The parallel arrays as comma-joined text, values to four places."""
+    values = F.transform("values", lambda v: v.cast("decimal(18,4)").cast("string"))
+    return A.price_trend_arrays(m).select("period", F.array_join("dates", ",").alias("dates"), F.array_join(values, ",").alias("values"))
+
+
 def _shop_text(m: Market) -> DataFrame:
     """Auctions with texts as pages print them, to be parsed back."""
     amount = F.col("total_realized").cast("string")
@@ -157,7 +163,7 @@ def market_queries() -> dict[str, Callable[[Market], DataFrame]]:
         "price_trends_weekly": lambda m: A.price_trends(m, "weekly"),
         "price_trends_monthly": A.price_trends,
         "price_trends_filtered": lambda m: A.price_trends(m, category="brand#1", house_id=HOUSE),
-        "price_trends_arrays": A.price_trend_arrays,
+        "price_trends_arrays": _trend_text,
         "volume_trends": A.volume_trends,
         "volume_trends_long": A.volume_series,
         "house_performance": A.house_performance,

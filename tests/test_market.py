@@ -11,26 +11,25 @@ from hammerline.operators import analytics as A
 from hammerline.operators import listings as L
 from hammerline.operators import quality as Q
 from hammerline.operators import reports as R
-from hammerline.plans.market import ARTIST, AUCTION, CATEGORY, HOUSE, LOT, Market
+from hammerline.plans.market import ARTIST, AUCTION, CATEGORY, HOUSE, LOT, TITLE, Market
 
 D = dt.datetime(2001, 7, 15)
 
 
 def lot(i, auction=1, number="1", artist=1, sold=True, price="100.00", low="10.00", high="20.00", category=1):
     value = Decimal(price) if price and sold else None
-    return (f"l{i}", auction, number, f"Title {i}", artist, category, "O", sold, value, Decimal(low), Decimal(high), D)
+    return (f"l{i}", auction, number, artist, "O", sold, value, Decimal(low), Decimal(high), D, i), (i, f"Title {i}", category)
 
 
 def market(spark, lots, auctions=None, houses=None, artists=None):
     auctions = auctions or [(1, 1, "A", D, D, "completed", "live", None, "x1")]
     houses = houses or [(1, "H1", "ASIA", "active", None)]
     artists = artists or [(1, "Ann", "FR", True), (2, "Bob", None, False)]
-    all_lots = spark.createDataFrame(lots, LOT)
     return Market(
         spark.createDataFrame(houses, HOUSE),
         spark.createDataFrame(auctions, AUCTION),
-        all_lots.drop("title", "category_id"),
-        all_lots,
+        spark.createDataFrame([x[0] for x in lots], LOT),
+        spark.createDataFrame([x[1] for x in lots], TITLE),
         spark.createDataFrame(artists, ARTIST),
         spark.createDataFrame([(1, "Painting", 0)], CATEGORY),
     )
