@@ -18,6 +18,7 @@ CATEGORIES = [("pintura", "Pintura"), ("grabado", "Grabado"), ("escultura", "Esc
 #: Date formats tried in this order, and words that are no artist.
 DATE_FORMATS = ["yyyy-M-d H:m", "yyyy-M-d", "d/M/yyyy H:m", "d/M/yyyy", "M/d/yyyy", "MMMM d, yyyy", "d MMMM yyyy"]
 NO_ARTIST = ["obra", "pieza", "sin", "título"]
+#: Patterns of artist names and of ids in urls, in order of precedence.
 _NAME = r"[A-Z][a-záéíóúñü]+"
 ARTIST_PATTERNS = [
     rf"por\s+({_NAME}(?:\s+{_NAME})*)",
@@ -99,7 +100,7 @@ def parse_price_info(text: Column) -> Column:
 def lot_details(text: Column) -> Column:
     """struct<dimensions, medium, category>."""
     low = F.lower(text)
-    size = F.coalesce(
+    size = F.coalesce(  # fixed values: the forms in which sizes are written
         first_match(text, r"(?i)(\d+\s*x\s*\d+(?:\s*x\s*\d+)?)\s*cm"),
         first_match(text, r"(?i)(\d+\s*×\s*\d+(?:\s*×\s*\d+)?)\s*cm"),
         first_match(text, r"(?i)Dimensiones?:\s*([^,\n]+)"),
