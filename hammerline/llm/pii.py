@@ -103,7 +103,7 @@ def candidates(text: str, taken: dict[str, list[Span]]) -> list[tuple[int, int,
         token = text[start:end]
         if end - start < LEAST or not any(c > "9" for c in token):  # "-" and digits only: a number
             continue
-        if any(a < end and start < b for a, b in spans):
+        if any(a <= start and end <= b for a, b in spans):
             continue
         found.append((start, end, token, text[max(0, start - BEFORE) : start], make_up(token)))
     return found
