@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_STAGED: dict[str, list[str]] = {}
+_kept: list[str] = []
+_recording = False
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,7 +32,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 def staged_path(spark: SparkSession, name: str) -> str:
     path = f"{shared_dir(spark)}/hammerline-{name}-{uuid.uuid4().hex[:12]}"
-    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    if _recording:
+        _kept.append(path)
     return path
 
 
@@ -44,13 +48,23 @@ def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def sweep(spark: SparkSession) -> None:
-    """Delete what this application has staged so far.  Only a caller whose earlier
-    results are all written out (a pipeline between two stages) may do this."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    for path in _STAGED.pop(spark.sparkContext.applicationId, []):
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(conf).delete(where, True)
+@contextmanager
+def recorded(spark: SparkSession, first: bool) -> Iterator[None]:
+    """For a chain of steps that each read what the one before has written out: what a step
+    stages inside is deleted when the next begins.  The first step of a chain deletes
+    nothing, so results of other queries and of earlier chains are left alone."""
+    global _recording
+    if not first:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for path in _kept:
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(conf).delete(where, True)
+    _kept.clear()
+    _recording = True
+    try:
+        yield
+    finally:
+        _recording = False
 
 
 def ascii_lower(text: Column) -> Column:
