@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from .shared import crc32_mod
 
 BUCKETS = 1 << 15
+PARTS = 256  # of each language while its sample is ranked
 STRETCH = 1 << 20
 UNKNOWN = "und"
 
@@ -173,13 +174,13 @@ def train(docs: DataFrame, learn_from: Column, max_docs: int = 600, max_chars: i
     df, total = document_frequencies(may)
     idf = np.log((1 + total) / (1 + df)) + 0.05
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    first = F.row_number().over(Window.partitionBy("lang", "_salt").orderBy(*order))  # a hot language in 64 parts
+    first = F.row_number().over(Window.partitionBy("lang", "_salt").orderBy(*order))  # a hot language in parts
     then = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
     ids = (
         may.filter((F.char_length("text") <= max_chars) & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-        .select("doc_id", "lang", F.pmod(F.xxhash64(F.lit(1), F.col("doc_id")), F.lit(64)).alias("_salt"))
+        .select("doc_id", "lang", F.pmod(F.xxhash64(F.lit(1), F.col("doc_id")), F.lit(PARTS)).alias("_salt"))
         .withColumn("_n", first)
-        .filter(F.col("_n") <= max(20, max_docs // 16))  # four times a part's share, so that few rows meet below
+        .filter(F.col("_n") <= max(4, 4 * max_docs // PARTS))  # four times a part's share, so that few rows meet below
         .withColumn("_n", then)
         .filter(F.col("_n") <= max_docs)
         .select("doc_id")
