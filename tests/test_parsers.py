@@ -87,3 +87,13 @@ def test_rank_and_index_agree(spark):
 @settings(max_examples=200, deadline=None)
 def test_stems_are_short_and_stable(word):
     assert len(T.stem(word)) <= len(word) + 1
+
+
+def test_stemmed_search_meets_other_forms(spark):
+    from hammerline.operators.search import search_texts_stemmed
+
+    docs = spark.createDataFrame([(1, "The licenses were released"), (2, "a license"), (3, "the and of"), (4, None)], "doc_id long, text string")
+    rows = search_texts_stemmed(docs, "license releasing").collect()
+    assert [r["doc_id"] for r in rows] == [1, 2]
+    assert abs(rows[0]["rank"] - 2 * T.WEIGHT / T.ZETA_2 / 2) < 1e-6
+    assert search_texts_stemmed(docs, "the and").count() == 0
