@@ -16,6 +16,7 @@ are packed each; an empty table gives an empty result; extra columns are left ou
 from __future__ import annotations
 
 import base64
+import json
 import os
 import zlib
 from collections.abc import Iterator
@@ -40,15 +41,19 @@ def default_vocabulary() -> str:
 
 @lru_cache(maxsize=2)
 def encoder(path: str):
-    """The byte-level BPE whose ranks lie at ``path``; ids equal those of the same
-    vocabulary in the tokenizers library (tests compare the two)."""
+    """The byte-level BPE whose ranks lie at ``path``, with the added tokens of the tokenizers
+    form beside it; ids equal those of that form (tests compare the two)."""
     import public_tokenizers
     import tiktoken
 
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    added, beside = {}, f"{os.path.splitext(path)[0]}.json"
+    if os.path.exists(beside):
+        with open(beside, encoding="utf-8") as form:
+            added = {t["content"]: t["id"] for t in json.load(form).get("added_tokens", [])}
     return tiktoken.Encoding(
-        os.path.basename(path), pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+        os.path.basename(path), pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added
     )
 
 
@@ -71,7 +76,7 @@ def tokenize(
         for batch in batches:
             out = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                ids = bpe.encode_ordinary(text or "")
+                ids = bpe.encode(text or "", allowed_special="all")
                 ids.append(end_id)
                 packed = np.array(ids, dtype="<u4")
                 for number, (start, length) in enumerate(cut(len(ids), limit)):

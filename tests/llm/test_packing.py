@@ -74,3 +74,11 @@ def test_hot_length_and_empty(spark, no_docs, odd_docs):
     assert P.pack_documents(no_docs).count() == 0
     assert check(P.pack_documents(odd_docs).collect())[0] > 0
     assert P.tokenize(odd_docs, keep_ids=True).selectExpr("size(ids) = length AS ok").filter("ok").count() > 0
+
+
+def test_added_tokens_are_one_id(spark):
+    hf = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n\n y", "a  <|endoftext|>  b", "<|<|endoftext|>|>", "<|endoftext|"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in P.tokenize(docs, keep_ids=True).collect():
+        assert r["ids"] == [*hf.encode(texts[r["doc_id"]], add_special_tokens=False).ids, 2]
