@@ -64,15 +64,18 @@ def majority(hashes: np.ndarray) -> int:
     return int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, width: int = 4) -> DataFrame:
-    """(doc_id, fp): the fingerprint of each whole text as a signed 64-bit number."""
+def fingerprints(docs: DataFrame, width: int = 4, with_key: bool = False) -> DataFrame:
+    """(doc_id, fp): the fingerprint of each whole text as a signed 64-bit number;
+    ``with_key`` passes the string column text_key on."""
+    key = ["text_key"] * with_key
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = np.array([majority(shingle_hashes(t, width)) for t in batch["text"]], dtype=np.uint64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "fp": found.view(np.int64)})
+            frame = {"doc_id": batch["doc_id"].astype("Int64"), "fp": found.view(np.int64)}
+            yield pd.DataFrame(frame | {c: batch[c] for c in key})
 
-    return docs.select("doc_id", "text").mapInPandas(rows, "doc_id long, fp long")
+    return docs.select("doc_id", "text", *key).mapInPandas(rows, "doc_id long, fp long" + ", text_key string" * with_key)
 
 
 def merge(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
@@ -210,9 +213,12 @@ def close_classes(edges: DataFrame) -> DataFrame:
         pairs = stage(small.unionByName(least.select("x", F.col("m").alias("y"))).distinct(), "edges")
 
 
-def near_duplicates(docs: DataFrame, width: int = 4, budget: int = 4, node_rows: int = 25_000) -> DataFrame:
-    """doc_id, fp (signed), component_id: the smallest doc_id of the class."""
-    prints = stage(fingerprints(docs, width), "prints")
+def near_duplicates(
+    docs: DataFrame, width: int = 4, budget: int = 4, node_rows: int = 25_000, with_key: bool = False
+) -> DataFrame:
+    """doc_id, fp (signed), component_id: the smallest doc_id of the class.  ``with_key`` adds
+    the column text_key of ``docs`` and root, a fingerprint that names the class."""
+    prints = stage(fingerprints(docs, width, with_key), "prints")
     nodes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("lowest")), "nodes")
     roots = close_classes(link_forest(nodes.select("fp"), budget, node_rows))
     member = roots.unionByName(roots.select(F.col("root").alias("x"), "root").distinct())
@@ -221,11 +227,13 @@ def near_duplicates(docs: DataFrame, width: int = 4, budget: int = 4, node_rows:
         .groupBy("root")
         .agg(F.min("lowest").alias("smallest"))
         .join(member, "root")
-        .select(F.col("x").alias("fp"), "smallest")
+        .select(F.col("x").alias("fp"), "smallest", "root")
+    )
+    classes = nodes.join(named, "fp", "left").select(
+        "fp", F.coalesce("smallest", "lowest").alias("component_id"), F.coalesce("root", "fp").alias("root")
     )
-    classes = nodes.join(named, "fp", "left").select("fp", F.coalesce("smallest", "lowest").alias("component_id"))
     classes = stage(classes, "classes")  # so that the join has plain exchanges, which Spark splits where they are skewed
-    return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(classes, "fp").select("doc_id", "fp", "component_id", *["text_key", "root"] * with_key)
 
 
 def op5_simhash(docs: DataFrame) -> DataFrame:

@@ -83,3 +83,23 @@ def test_repeated_ids_leave_one_row(spark, odd_docs):
     out = corpus_pipeline.near_dedup(spark, odd_docs, SF)
     ids = [r["doc_id"] for r in out.collect()]
     assert ids.count(7) == 1 and ids.count(5) == 1 and 6 not in ids and None in ids
+
+
+def test_decisions_are_by_row(spark, tmp_path):
+    item = " ".join(f"bench{i} mark" for i in range(12))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    text = lambda n: " ".join(f"n{n}w{i * i % 97}" for i in range(40))
+    given = [
+        (None, text(1)), (None, f"{text(2)} {item}"), (None, text(3)), (5, text(4)), (5, f"{text(5)} {item}"),
+        (6, text(6)), (None, text(6)), (None, text(7)), (None, text(7)), (8, text(8)), (8, text(8)), (9, text(8)),
+    ]
+    docs = spark.createDataFrame(given, "doc_id long, text string")
+    left = corpus_pipeline.near_dedup(spark, docs, str(tmp_path))
+    left.write.parquet(f"{tmp_path}/left")
+    left = spark.read.parquet(f"{tmp_path}/left")
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    assert sorted(map(tuple, left.collect()), key=key) == sorted([*given[:6], given[7], given[9]], key=key)
+    clean = corpus_pipeline.decontamination(spark, left, str(tmp_path))
+    assert sorted(map(tuple, clean.collect()), key=key) == sorted(
+        [given[i] for i in (0, 2, 3, 5, 7, 9)], key=key
+    )
