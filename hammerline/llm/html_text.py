@@ -5,9 +5,9 @@ block element, each with the number of tags met on its way, the containers it li
 whether markup says that it is not the article: menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles, comments.  The ratio of characters to tags, smoothed over
 neighbouring lines by a Gaussian, is split into two clusters by their means; the upper one
-marks where the content is.  The smallest container with most of the marked characters,
-widened to the article or main element around it, is the region; every line of it that
-markup does not exclude is kept, however short.
+marks where the content is.  The article or main element around the smallest container with
+most of the marked characters is the region, the whole page where there is none; every line
+of it that markup does not exclude is kept, however short.
 
 Defined cases: null and empty html give an empty text; a page whose end is cut off or whose
 elements are not closed is read as far as it goes; a page without markup is one line;
@@ -208,12 +208,13 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
             total += len(line[0])
             for number in line[2]:
                 weight[number] = weight.get(number, 0) + len(line[0])
-    region, path = -1, ()
+    inner, path = -1, ()
     for line, on in zip(parser.lines, marked):
         if on:
             for depth, number in enumerate(line[2]):
-                if weight[number] >= 0.8 * total and number > region:
-                    region, path = number, line[2][: depth + 1]
+                if weight[number] >= 0.8 * total and number > inner:
+                    inner, path = number, line[2][: depth + 1]
+    region = -1
     for kind in ("article", "main"):
         around = [n for n in path if parser.kinds[n] == kind]
         if around:

@@ -37,3 +37,19 @@ def test_long_pages_and_columns(spark):
     assert out.columns == ["page_id", "html", "url", "text"]
     assert sorted(len(r["text"].split("\n")) for r in out.collect()) == [1, 20_000, 20_000]
     assert op7_html_text(df.limit(0)).count() == 0
+
+
+LONG = "<p>" + "Words of a long paragraph that go on and on. " * 8 + "</p>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body><h1>Title</h1><div>{LONG * 3}</div><p>closing</p></body>",
+        f"<body><div><h1>Title</h1></div><div>{LONG * 5}</div><div>{LONG}</div><div><ul><li>closing</ul></div></body>",
+        f"<body><div class=menu>Home</div><table><tr><td>Title<td>{LONG * 4}</table><p>closing</p><footer>f</footer></body>",
+    ],
+)
+def test_pages_without_article_lose_nothing_else(page):
+    lines = main_text(page).split("\n")
+    assert lines[0] == "Title" and lines[-1] == "closing" and len(lines) == 2 + page.count("<p>Words")
