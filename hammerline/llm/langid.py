@@ -197,10 +197,12 @@ def train(docs: DataFrame, learn_from: Column, max_docs: int = 600, max_chars: i
     return learn(rows["text"].tolist(), rows["lang"].tolist(), idf)
 
 
-def identify(docs: DataFrame, learn_from: Column | None = None, max_docs: int = 600) -> DataFrame:
-    """``docs`` with lang_pred and lang_score."""
+def identify(
+    docs: DataFrame, learn_from: Column | None = None, max_docs: int = 600, model: Model | None = None
+) -> DataFrame:
+    """``docs`` with lang_pred and lang_score, by ``model`` where one is given."""
     may = F.lit(True) if learn_from is None else learn_from
-    model = train(docs, may, max_docs)
+    model = model or train(docs, may, max_docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # languages x BUCKETS weights
 
     @F.pandas_udf("struct<lang: string, score: double>")

@@ -103,3 +103,15 @@ def test_decisions_are_by_row(spark, tmp_path):
     assert sorted(map(tuple, clean.collect()), key=key) == sorted(
         [given[i] for i in (0, 2, 3, 5, 7, 9)], key=key
     )
+
+
+def test_language_stage_with_no_or_many_languages(spark, monkeypatch):
+    import numpy as np
+
+    rows = [(1, "some words", None), (2, "12 34", None), (3, None, None), (4, "Ωμέγα", None)]
+    unnamed = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {r["doc_id"] for r in corpus_pipeline.language_id(spark, unnamed, SF).collect()} == {1, 4}
+    many = langid.Model([f"l{i}" for i in range(40)], np.ones(langid.BUCKETS))
+    many.weights, many.bias = np.zeros((40, langid.BUCKETS)), np.append(2.0, np.zeros(39))
+    monkeypatch.setattr(langid, "train", lambda *_: many)  # the likeliest of 40 has a score of 0.16
+    assert {r["doc_id"] for r in corpus_pipeline.language_id(spark, unnamed, SF).collect()} == {1, 4}
