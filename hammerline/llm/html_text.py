@@ -1,22 +1,27 @@
 """Main text of web pages from parser events and text-to-tag ratios.
 
 The standard library's parser streams a page's events once.  Text gathers in lines, one a
-block element, each with the number of tags met on its way, the containers it lies in and
-whether markup says that it is not the article: menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles, comments.  The ratio of characters to tags, smoothed over
-neighbouring lines by a Gaussian, is split into two clusters by their means; the upper one
-marks where the content is.  The article or main element around the smallest container with
-most of the marked characters is the region, the whole page where there is none; every line
-of it that markup does not exclude is kept, however short.
+block element, each with the number of tags met on its way and the characters of it that
+are link text.  The ratio of characters to tags, damped where links or side elements
+dominate and smoothed over neighbouring lines by a Gaussian, is split into two clusters
+by their means.  Every line of the upper cluster speaks for the containers it lies in with
+its length, every line of the lower one against them, and the container with the highest sum
+is the content region; it is widened to a parent as long as that keeps half of the sum and adds no line of links
+outside an article or main element.  Markup is a weak feature on the way (a line in a
+menu, footer, advert and the like counts for a tenth) and decides only inside the region,
+where such lines are left out; every other line of the region is kept, however short.
 
 Defined cases: null and empty html give an empty text; a page whose end is cut off or whose
-elements are not closed is read as far as it goes; a page without markup is one line;
-repeated rows and other columns pass through.
+elements are not closed is read as far as it goes; a page without markup is one line; of
+containers with equal sums the first opened, that is the outer one, is taken; very long and
+deeply nested pages take time in proportion to their events; repeated rows and other columns
+pass through, a column named text is replaced.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -34,7 +39,8 @@ BLOCKS = frozenset(
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search "
     "section summary table tbody td tfoot th thead tr ul".split()
 )
-CONTAINERS = frozenset("html body main article section div td blockquote".split())
+#: Blocks of running text: their lines belong to the container around them.
+LEAVES = frozenset("address caption dd dt figcaption h1 h2 h3 h4 h5 h6 hgroup legend li p pre summary tr".split())
 #: Names in class, id or role that say what an element is for.
 NOISE = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent "
@@ -45,128 +51,165 @@ NOISE = frozenset(
 )
 #: Of those, the ones that count even on an article element.
 FOREIGN = frozenset("ad ads advert advertisement sponsored promo comment comments reply related recommended".split())
-CLOSED_BY = {"li": ("li", "ul ol menu"), "dt": ("dt dd", "dl"), "dd": ("dt dd", "dl"), "tr": ("tr", "table"),
-             "td": ("td th", "table"), "th": ("td th", "table"), "option": ("option", "select")}
+#: Blocks that a new one of the first kind closes where they are innermost.
+CLOSED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
+WRAPPERS = frozenset("div section body html td".split())
+SIDE = 0.1  # what the ratio and the length of a line in a side element count
+SHORT = 40  # characters that a line of the lower cluster counts for at least
+LINKED = 0.5  # share of link text from which a line is one of links
+BACKING = 0.5  # least share of the region's votes that a wider one must keep
+REFERENCES = 0.25  # most link lines, as a share of the region, that an article or main element may add
 NAME = re.compile(r"[a-z]+|[A-Z][a-z]*")
 
 
+class Block:
+    """An open block element, with the inline elements open in it."""
+
+    __slots__ = ("tag", "node", "marked", "foreign", "inline", "counts")
+
+    def __init__(self, tag: str, node: int, marked: bool, foreign: bool):
+        self.tag, self.node, self.marked, self.foreign = tag, node, marked, foreign
+        self.inline: list[tuple[str, bool]] = []  # tag, marked
+        self.counts: Counter = Counter()
+
+
 class Lines(HTMLParser):
-    """Collects (text, tags, containers, excluded) for each line."""
+    """Collects (text, tags, link characters, node, marked) for each line.
+
+    Nodes are the containers by number in the order they open, the page being 0, with the
+    number of their parent and the number at which they end.  All work on an event is
+    constant, or paid for by the elements it closes."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, tuple[int, ...], bool]] = []
-        self.kinds: list[str] = []  # of containers, by number
-        self.open: list[tuple[str, bool, int]] = []  # tag, excludes, container or -1
-        self.inside: tuple[int, ...] = ()
-        self.excluding = 0
-        self.foreign: set[int] = set()  # places in open whose names never hold the article
+        self.lines: list[tuple[str, int, int, int, bool]] = []
+        self.kinds, self.parents, self.ends = [""], [0], [0]
+        self.open = [Block("", 0, False, False)]
+        self.names: Counter = Counter()  # of open blocks
+        self.marks = self.linked = 0
+        self.wrappers: list[Block] = []  # open ones in which an article would be no side matter
         self.text: list[str] = []
-        self.tags = 0
+        self.tags = self.link_chars = 0
 
     def flush(self) -> None:
         words = "".join(self.text).split()
         if words:
-            self.lines.append((" ".join(words), self.tags, self.inside, self.excluding > 0))
+            line = " ".join(words)
+            self.lines.append((line, self.tags, min(self.link_chars, len(line)), self.open[-1].node, self.marks > 0))
             self.tags = 0
-        self.text = []
+        self.text, self.link_chars = [], 0
 
-    def pop(self) -> None:
-        _, excludes, container = self.open.pop()
-        self.foreign.discard(len(self.open))
-        self.excluding -= excludes
-        if container >= 0:
-            self.inside = self.inside[:-1]
+    def pop_inline(self) -> str:
+        block = self.open[-1]
+        tag, marked = block.inline.pop()
+        block.counts[tag] -= 1
+        self.marks -= marked
+        self.linked -= tag == "a"
+        return tag
 
-    def close_to(self, index: int) -> None:
-        self.flush()
-        while len(self.open) > index:
-            self.pop()
+    def pop_block(self) -> str:
+        block = self.open[-1]
+        while block.inline:
+            self.pop_inline()
+        self.open.pop()
+        self.names[block.tag] -= 1
+        self.marks -= block.marked
+        if self.wrappers and self.wrappers[-1] is block:
+            self.wrappers.pop()
+        if block.tag not in LEAVES:
+            self.ends[block.node] = len(self.kinds)
+        return block.tag
 
-    def excludes(self, tag: str, attrs: list) -> bool:
+    def judge(self, tag: str, attrs: list) -> tuple[bool, bool]:
+        """Whether markup calls an element a side one, and whether by a name that never holds the article."""
         if tag in ("html", "body", "main"):
-            return False
+            return False, False
         if tag in DROPPED:
-            # a heading block of the article itself is part of it
-            return not (tag == "header" and any(t == "article" for t, _, _ in self.open))
+            return not (tag == "header" and self.names["article"]), False  # the heading of an article is part of it
         names: set[str] = set()
         for key, value in attrs:
             if key == "hidden":
-                return True
+                return True, False
             if key in ("class", "id", "role") and value:
                 names.update(x.lower() for x in NAME.findall(value))
         if not names.isdisjoint(FOREIGN):
-            self.foreign.add(len(self.open))
-            return True
-        return tag != "article" and not names.isdisjoint(NOISE)
+            return True, True
+        return tag != "article" and not names.isdisjoint(NOISE), False
 
-    def reopen(self) -> None:
+    def pardon(self) -> None:
         """A wrapper whose name sounds like a side element but that holds the article isn't one."""
         self.flush()
-        for i, (tag, excluded, number) in enumerate(self.open):
-            if excluded and tag in ("div", "section", "body", "html", "td") and i not in self.foreign:
-                self.open[i] = (tag, False, number)
-                self.excluding -= 1
+        for block in self.wrappers:
+            block.marked = False
+        self.marks -= len(self.wrappers)
+        self.wrappers = []
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         self.tags += 1
         if tag == "br":
             self.text.append(" ")
             return
-        if tag in BLOCKS:
-            self.flush()
-            for i in range(len(self.open) - 1, -1, -1):  # an open paragraph ends here
-                if self.open[i][0] == "p":
-                    self.close_to(i)
-                    break
-                if self.open[i][0] in BLOCKS:
-                    break
-            if tag in CLOSED_BY:
-                ended, within = (x.split() for x in CLOSED_BY[tag])
-                for i in range(len(self.open) - 1, -1, -1):
-                    if self.open[i][0] in within:
-                        break
-                    if self.open[i][0] in ended:
-                        self.close_to(i)
-                        break
+        if tag not in BLOCKS:
+            if tag in VOID:
+                return
+            marked = self.judge(tag, attrs)[0]
+            if marked and not self.marks:
+                self.flush()
+            self.open[-1].inline.append((tag, marked))
+            self.open[-1].counts[tag] += 1
+            self.marks += marked
+            self.linked += tag == "a"
+            return
+        self.flush()
+        if self.open[-1].tag == "p":
+            self.pop_block()
+        while self.open[-1].tag in CLOSED_BY.get(tag, ()):
+            self.pop_block()
         if tag in VOID:
             return
-        excludes = self.excludes(tag, attrs)
-        if tag in ("article", "main") and not excludes:
-            self.reopen()
-        if excludes and not self.excluding and self.text:
-            self.flush()
-        number = -1
-        if tag in CONTAINERS:
-            number = len(self.kinds)
+        marked, foreign = self.judge(tag, attrs)
+        if tag in ("article", "main") and not marked and self.wrappers:
+            self.pardon()
+        around = self.open[-1].node
+        self.open.append(Block(tag, around if tag in LEAVES else len(self.kinds), marked, foreign))
+        if tag not in LEAVES:
+            self.parents.append(around)
             self.kinds.append(tag)
-            self.inside = (*self.inside, number)
-        self.open.append((tag, excludes, number))
-        self.excluding += excludes
+            self.ends.append(0)
+        self.names[tag] += 1
+        self.marks += marked
+        if marked and not foreign and tag in WRAPPERS:
+            self.wrappers.append(self.open[-1])
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
-        if tag not in VOID and tag != "br":
+        if tag not in VOID:
             self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i][0] == tag:
-                if tag in BLOCKS or any(x[1] for x in self.open[i:]):
-                    self.flush()
-                while len(self.open) > i:
-                    self.pop()
-                break
-            if tag not in BLOCKS and self.open[i][0] in BLOCKS:
-                break  # a stray inline end does not close blocks
+        if tag in BLOCKS:
+            if self.names[tag] > 0:
+                self.flush()
+                while self.pop_block() != tag:
+                    pass
+        elif self.open[-1].counts[tag] > 0:  # a stray inline end does not close blocks
+            if self.marks:
+                self.flush()
+            while self.pop_inline() != tag:
+                pass
 
     def handle_data(self, data: str) -> None:
         self.text.append(data)
+        if self.linked > 0:
+            self.link_chars += len(data)
 
     def close(self) -> None:
         super().close()
         self.flush()
+        while len(self.open) > 1:
+            self.pop_block()
+        self.ends[0] = len(self.kinds)
 
 
 def smooth(values: np.ndarray, sigma: float) -> np.ndarray:
@@ -190,37 +233,42 @@ def dense(values: np.ndarray) -> np.ndarray:
     return values >= (low + high) / 2
 
 
+def content_region(page: Lines, upper: np.ndarray) -> int:
+    """The node for which the lines of the upper cluster speak most."""
+    node = np.array([x[3] for x in page.lines])
+    size = np.array([len(x[0]) for x in page.lines])
+    linked = np.array([x[2] >= LINKED * len(x[0]) for x in page.lines])
+    side = np.array([x[4] for x in page.lines])
+    parents = np.array(page.parents)
+
+    def totals(values: np.ndarray) -> list:
+        own = np.bincount(node, weights=values, minlength=len(parents)).tolist()
+        for child in range(len(own) - 1, 0, -1):  # children have higher numbers
+            own[page.parents[child]] += own[child]
+        return own
+
+    votes = totals(np.where(upper, size * np.where(side, SIDE, 1), -np.maximum(size, SHORT)))
+    dense_in, links_in, plain_in = totals(upper), totals(size * (linked & ~side)), totals(size * (~linked & ~side))
+    able = [i for i, n in enumerate(dense_in) if n]
+    at = region = max(able, key=votes.__getitem__) if able else 0
+    while at:  # wider as long as no menu comes in
+        parent = page.parents[at]
+        spare = REFERENCES * plain_in[region] if page.kinds[parent] in ("article", "main") else 0
+        if links_in[parent] - links_in[at] > spare or votes[parent] < BACKING * votes[region]:
+            break
+        at = parent
+    return at
+
+
 def main_text(html: str | None, sigma: float = 1.0) -> str:
-    parser = Lines()
-    parser.feed((html or "").replace("<![", "<!"))  # marked sections are comments to a browser
-    parser.close()
-    own = [line for line in parser.lines if not line[3]]
-    if not own:
+    page = Lines()
+    page.feed((html or "").replace("<![", "<!"))  # marked sections are comments to a browser
+    page.close()
+    if all(x[4] for x in page.lines):
         return ""
-    ratios = np.array([0.0 if x[3] else len(x[0]) / max(1, x[1]) for x in parser.lines])
-    marked = dense(smooth(ratios, sigma)) & np.array([not x[3] for x in parser.lines])
-    if not marked.any():
-        marked = np.array([not x[3] for x in parser.lines])
-    weight: dict[int, int] = {}
-    total = 0
-    for line, on in zip(parser.lines, marked):
-        if on:
-            total += len(line[0])
-            for number in line[2]:
-                weight[number] = weight.get(number, 0) + len(line[0])
-    inner, path = -1, ()
-    for line, on in zip(parser.lines, marked):
-        if on:
-            for depth, number in enumerate(line[2]):
-                if weight[number] >= 0.8 * total and number > inner:
-                    inner, path = number, line[2][: depth + 1]
-    region = -1
-    for kind in ("article", "main"):
-        around = [n for n in path if parser.kinds[n] == kind]
-        if around:
-            region = around[0]
-            break
-    return "\n".join(x[0] for x in own if region < 0 or region in x[2])
+    ratios = np.array([np.log1p((len(x[0]) - x[2]) / max(1, x[1])) * (SIDE if x[4] else 1.0) for x in page.lines])
+    region = content_region(page, dense(smooth(ratios, sigma)))
+    return "\n".join(x[0] for x in page.lines if region <= x[3] < page.ends[region] and not x[4])
 
 
 def extract_text(pages: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 import pytest
 
+from hammerline.llm import html_text
 from hammerline.llm.html_text import extract_text, main_text, op7_html_text
 
 CASES = [
@@ -53,3 +54,36 @@ LONG = "<p>" + "Words of a long paragraph that go on and on. " * 8 + "</p>"
 def test_pages_without_article_lose_nothing_else(page):
     lines = main_text(page).split("\n")
     assert lines[0] == "Title" and lines[-1] == "closing" and len(lines) == 2 + page.count("<p>Words")
+
+
+def test_clusters_choose_the_region(spark, monkeypatch):
+    """Without any semantic mark the text is the same; with the clusters inverted it is another."""
+    import re
+
+    pages = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    plain = [re.sub(r"<(/?)(nav|article|footer)\b", r"<\1div", h).replace(' class="ad"', "") for h in pages]
+    own = [main_text(h) for h in pages]
+    assert sum(main_text(h) == text for h, text in zip(plain, own)) >= 0.97 * len(pages)
+    upper = html_text.dense
+    monkeypatch.setattr(html_text, "dense", lambda values: ~upper(values))
+    assert sum(main_text(h) != text for h, text in zip(pages, own)) > 0.9 * len(pages)
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<div>x" * 8000, "<span>x" * 8000 + "</b>" * 8000, "<b><div>" + "<span>" * 8000 + "</b>x" * 8000,
+        "<ul><li>" + "<div>" * 8000 + "<li>x</li>" * 8000, "<div class=nav><article>x</article>" * 8000, "<span>" * 8000 + "<hr>" * 8000,
+    ],
+)
+def test_deep_pages_take_linear_time(page):
+    import time
+
+    began = time.process_time()
+    main_text(page)
+    assert time.process_time() - began < 2
+
+
+def test_columns_of_the_same_name_are_replaced(spark):
+    df = spark.createDataFrame([(1, "<p>new</p>", "old")], "page_id long, html string, text string")
+    assert [tuple(r) for r in extract_text(df).collect()] == [(1, "<p>new</p>", "new")]
