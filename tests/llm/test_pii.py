@@ -54,6 +54,61 @@ def test_patterns_discover_forms_without_a_seed(spark):
     assert not any("secret:" in found[200 + i] for i in range(10))
 
 
+def test_discovery_of_forms_that_seeds_do_not_describe(spark):
+    """Capital tokens, short and mixed ones behind other keys; clean codes stay."""
+    import random
+
+    random.seed(5)
+    word = lambda: "".join(random.choice(["ka", "lo", "mi", "ter", "san"]) for _ in range(3))
+    fill = lambda n: " ".join(word() for _ in range(n))
+    mixed = lambda n: "".join(random.choice("abcdefghkmnpqrstuvwxyzABCDEFGH23456789") for _ in range(n))
+    rows, secret, clean = [], set(), set()
+    for i in range(60):
+        own = hashlib.sha1(str(i).encode()).hexdigest()
+        rows.append((i, f'{fill(9)} token = "{own}" {fill(5)}'))
+        rows.append((1000 + i, f"{fill(9)} api_key: {own if i % 2 else mixed(24)} {fill(5)}"))
+        rows.append((2000 + i, f"{fill(9)} order: {mixed(9)} {fill(5)} build{i}x{i} of item-{i}00{i}"))
+        secret |= {i, 1000 + i}
+        clean.add(2000 + i)
+    rows += [(3000 + i, f'{fill(9)} TOKEN = "{"9233A8EC" * 5}" {fill(5)}') for i in range(10)]
+    rows += [(4000, f'{fill(9)} token = "short7x" {fill(5)}'), (4001, f'{fill(9)} api_key: onlyletters {fill(5)}')]
+    secret |= {*range(3000, 3010), 4000, 4001}
+    found = {r["doc_id"] for r in pii.op4_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect() if "secret:" in r["spans"]}
+    print("recall", len(found & secret) / len(secret), "precision", len(found & secret) / len(found))
+    assert found == secret
+
+
+def test_graph_equals_a_plain_version(spark):
+    import random
+
+    random.seed(2)
+    rows = [(i % 7 - 1, f"v{random.randrange(30)}", [f"{random.choice('lrs')}:{random.randrange(12)}" for _ in range(3)]) for i in range(90)]
+    found = {r["value"] for r in pii.bootstrap(spark.createDataFrame(rows, "start long, value string, patterns array<string>"), ("v1",), 2, 0.6).collect()}
+    edges = {(v, q) for start, v, own in rows for q in own}
+    n = {q: len([e for e in edges if e[1] == q]) for _, q in edges}
+    score = {v: 0.0 for v, q in edges if n[q] >= 3}
+    sure = {v for start, v, own in rows if start < 0 or v == "v1"}
+    score |= {v: 1.0 for v in {v for v, q in edges if n[q] >= 3 and any(u == v and start < 0 and q in own for start, u, own in rows)}}
+    score |= {v: 1.0 for v in score if v == "v1"}
+    for _ in range(2):
+        rate = {q: sum(score.get(v, 0) for v, p in edges if p == q) / (n[q] + pii.DOUBT) for q in n if n[q] >= 3}
+        for v in score:
+            miss = 1.0
+            for kind in "lrs":
+                miss *= 1 - max([rate[q] for u, q in edges if u == v and q in rate and q[0] == kind], default=0)
+            score[v] = max(score[v], 1 - miss)
+    assert found == {v for v, x in score.items() if x >= 0.6} | sure
+
+
+def test_a_long_text_takes_linear_time():
+    import time
+
+    text = 'mail a1b2c3@x.org code 12-34-5678 x="abcdef" ' * 24_000
+    began = time.process_time()
+    pii.candidates(text, pii.base_spans(text))
+    assert len(text) > 1_000_000 and time.process_time() - began < 4
+
+
 def test_linear_on_hostile_text():
     assert pii.base_spans("a" * 200_000 + "@") == brute("")
     assert pii.base_spans("1" * 200_000)["ip"] == []
