@@ -11,7 +11,9 @@ one run of the next level, so a key sits in exactly one run and a batch meets fe
 Defined cases: null and empty texts hold one empty line; keys shorter than
 ``min_chars`` code points are never dropped; every row counts as one document, so
 repeated rows count each; rows that share the largest doc_id all keep the line; a null
-doc_id ranks below every other; an empty table gives an empty result.
+doc_id ranks below every other; rows without a doc_id, or with one that repeats, are told apart by their
+texts; very long texts take time in proportion to their lines (and the sort of their hashes); an
+empty table gives an empty result; other columns pass through.
 """
 
 from __future__ import annotations
@@ -35,12 +37,13 @@ def _line_key(line: Column) -> Column:
     return F.btrim(line, F.lit(BLANKS))
 
 
-def _hashed(key: Column) -> Column:
-    return F.struct(F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(7), key).alias("h2"))
+def _hashes(key: Column) -> list[Column]:
+    return [F.xxhash64(key).alias("h1"), F.xxhash64(F.lit(7), key).alias("h2")]
 
 
 class LineRuns:
-    """The levels of sorted runs.  ``admit`` takes (h1, h2, doc_id) rows.
+    """The levels of sorted runs.  ``admit`` takes (h1, h2, doc_id, first) rows, first being true
+    for one row of each key in a document.
 
     With as many buckets as shuffle partitions (the default) a bucket is one file, and a
     batch that is grouped by key meets a run without a further exchange on either side."""
@@ -50,6 +53,7 @@ class LineRuns:
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[DataFrame]] = []
         self.tallies: list[DataFrame] = []
+        self.names: list[str] = []
 
     def _write_run(self, rows: DataFrame) -> DataFrame:
         name = f"line_run_{uuid.uuid4().hex}"
@@ -60,14 +64,21 @@ class LineRuns:
             .option("path", staged_path(self.spark, "run"))
             .saveAsTable(name)
         )
+        self.names.append(name)
         return self.spark.table(name)
 
     def runs(self) -> list[DataFrame]:
         return [run for level in self.levels for run in level]
 
+    def forget(self) -> None:
+        """Takes the runs out of the catalog once their outcome is staged."""
+        for name in self.names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        self.names, self.levels, self.tallies = [], [], []
+
     def admit(self, batch: DataFrame) -> DataFrame:
         """Add a batch; returns its run of keys that no earlier run held."""
-        keys = batch.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("keep_doc"))
+        keys = batch.groupBy(*KEY).agg(F.count_if("first").alias("n_docs"), F.max("doc_id").alias("keep_doc"))
         known = self.runs()
         novel = keys = stage(keys, "batch") if known else keys
         for run in known:
@@ -104,13 +115,28 @@ class LineRuns:
         )
 
 
+def own_text() -> list[Column]:
+    """With the doc_id they tell rows apart that have different texts."""
+    return [F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(7), "text").alias("t2")]
+
+
 def document_keys(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(doc_id, h1, h2): each long enough key of a document once."""
-    keys = F.filter(
-        F.transform(text_lines(ascii_lower(F.col("text"))), _line_key), lambda k: F.char_length(k) >= min_chars
-    )
-    found = docs.select("doc_id", F.array_distinct(F.transform(keys, _hashed)).alias("keys"))
-    return found.select("doc_id", F.explode("keys").alias("k")).select("doc_id", "k.h1", "k.h2")
+    """(doc_id, t1, t2, h1, h2, at, first): each line whose key is long enough, with its place from 1
+    and whether it is the first of its key in the document."""
+    keyed = F.transform(text_lines(ascii_lower(F.col("text"))), lambda line, i: F.struct(_line_key(line).alias("key"), (i + 1).alias("at")))
+    long = F.filter(keyed, lambda x: F.char_length(x["key"]) >= min_chars)
+    hashed = F.sort_array(F.transform(long, lambda x: F.struct(*_hashes(x["key"]), x["at"].alias("at"))))
+
+    def marked(own: Column) -> Column:
+        def one(x: Column, i: Column) -> Column:
+            before = F.get(own, i - 1)
+            other = before.isNull() | (before["h1"] != x["h1"]) | (before["h2"] != x["h2"])
+            return F.struct(x["h1"].alias("h1"), x["h2"].alias("h2"), x["at"].alias("at"), other.alias("first"))
+
+        return F.transform(own, one)
+
+    entries = F.element_at(F.transform(F.array(hashed), marked), 1)  # bound once, not computed for each line
+    return docs.select("doc_id", *own_text(), F.explode(entries).alias("k")).select("doc_id", "t1", "t2", "k.*")
 
 
 def dedup_lines(
@@ -121,53 +147,42 @@ def dedup_lines(
     fanout: int = 2,
     buckets: int | None = None,
 ) -> DataFrame:
-    """``docs`` with the columns clean_text, n_lines and n_dropped added.
+    """``docs`` with the columns clean_text, n_lines and n_dropped added (or replaced).
 
     ``docs`` needs doc_id and text; other columns pass through.  Lines whose key is
     found in ``min_docs`` documents or more go from all but the largest doc_id.
     """
-    spark = docs.sparkSession
     cuts = docs.approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.01) if batches > 1 else []
     number = F.lit(0)
     for cut in sorted(set(cuts)):
         number = number + (F.coalesce(F.col("doc_id"), F.lit(-(2**62))) <= F.lit(cut)).cast("int")
     keys = stage(document_keys(docs, min_chars).withColumn("batch", number), "lines", ["batch"])
-    runs = LineRuns(spark, fanout, buckets)
+    runs = LineRuns(docs.sparkSession, fanout, buckets)
     for batch in range(len(set(cuts)) + 1):
         runs.admit(keys.filter(F.col("batch") == batch))
     frequent = stage(runs.frequent(min_docs), "frequent")
+    runs.forget()
     drops = (
         keys.join(frequent, KEY)
         .filter(~F.col("doc_id").eqNullSafe(F.col("keep_doc")))
-        .groupBy("doc_id")
-        .agg(F.collect_set(F.struct(*KEY)).alias("_gone"))
-        .select(F.col("doc_id").alias("_doc"), "_gone")
+        .groupBy("doc_id", "t1", "t2")
+        .agg(F.collect_set("at").alias("gone"))
     )
-    gone = F.coalesce(F.col("_gone"), F.array().cast("array<struct<h1:bigint,h2:bigint>>"))
+    named = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("doc"), "doc_id", "text", *own_text())
+    same = named["doc_id"].eqNullSafe(drops["doc_id"]) & (named["t1"] == drops["t1"]) & (named["t2"] == drops["t2"])
+    joined = named.join(drops, same, "left").select("doc", named["text"].alias("text"), "gone")
     lines = text_lines(F.col("text"))
-    lowered = text_lines(ascii_lower(F.col("text")))
-    kept = F.transform(
-        F.filter(
-            F.arrays_zip(lines.alias("line"), lowered.alias("low")),
-            lambda x: ~(
-                (F.char_length(_line_key(x["low"])) >= min_chars)
-                & F.array_contains(gone, _hashed(_line_key(x["low"])))
-            ),
-        ),
-        lambda x: x["line"],
-    )
-    joined = docs.join(drops.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(drops["_doc"]), "left")
-    untouched = F.col("_gone").isNull()
-    return (
-        joined.withColumn("n_lines", F.size(lines).cast("long"))
-        .withColumn("_kept", F.when(~untouched, kept))
-        .withColumn("n_dropped", F.when(untouched, F.lit(0)).otherwise(F.col("n_lines") - F.size("_kept")).cast("long"))
-        .withColumn(
-            "clean_text",
-            F.when(untouched, F.coalesce(F.col("text"), F.lit(""))).otherwise(F.array_join("_kept", "\n")),
-        )
-        .drop("_doc", "_gone", "_kept")
+    places = F.array_except(F.sequence(F.lit(1), F.size(lines)), F.col("gone"))  # by hash, in order
+    kept = F.element_at(F.transform(F.array(lines), lambda own: F.array_join(F.transform(places, lambda i: F.get(own, i - 1)), "\n")), 1)
+    touched = F.col("gone").isNotNull()
+    made = F.struct(
+        F.when(touched, kept).otherwise(F.coalesce("text", F.lit(""))).alias("clean_text"),
+        F.size(lines).cast("long").alias("n_lines"),
+        F.when(touched, F.size("gone")).otherwise(0).cast("long").alias("n_dropped"),
     )
+    added = ["clean_text", "n_lines", "n_dropped"]
+    passed = [F.col("doc")[c].alias(c) for c in docs.columns if c not in added]
+    return joined.select("doc", made.alias("made")).select(*passed, *[F.col("made")[c].alias(c) for c in added])
 
 
 def op6_line_dedup(docs: DataFrame) -> DataFrame:

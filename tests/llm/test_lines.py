@@ -43,7 +43,7 @@ def test_equals_brute_force(spark, rows, batches, fanout, buckets):
 def test_runs_are_disjoint_and_compacted(spark):
     runs = R.LineRuns(spark, fanout=2, buckets=4)
     for batch in range(4):
-        keys = spark.range(batch * 50, batch * 50 + 100).selectExpr("id AS h1", "id AS h2", "id AS doc_id")
+        keys = spark.range(batch * 50, batch * 50 + 100).selectExpr("id AS h1", "id AS h2", "id AS doc_id", "true AS first")
         runs.admit(keys)
     assert [len(level) for level in runs.levels] == [0, 0, 1]
     run = runs.runs()[0]
@@ -55,3 +55,23 @@ def test_odd_and_extra_columns(odd_docs, no_docs):
     out = R.dedup_lines(odd_docs)
     assert out.columns[: len(odd_docs.columns)] == odd_docs.columns and out.count() == odd_docs.count()
     assert R.op6_line_dedup(no_docs).count() == 0
+
+
+def test_many_shared_lines_in_a_document(spark):
+    import time
+
+    text = "\n".join(f"a shared line with the number {i % 12_000}" for i in range(16_000))
+    docs = spark.createDataFrame([(i, text) for i in (1, 2, 3, None, None)], "doc_id long, text string")
+    began = time.perf_counter()
+    rows = R.op6_line_dedup(docs).collect()
+    assert sorted((r["n_lines"], r["n_dropped"]) for r in rows) == [(16_000, 0)] + [(16_000, 16_000)] * 4
+    assert time.perf_counter() - began < 60
+
+
+def test_columns_of_the_same_names(spark):
+    line = "a line of more than twenty characters"
+    rows = [(i, f"{line}\n{i}", "own", i, i) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, clean_text string, gone int, t1 int")
+    out = R.dedup_lines(docs)
+    assert out.columns == ["doc_id", "text", "gone", "t1", "clean_text", "n_lines", "n_dropped"]
+    assert sorted((r["doc_id"], r["gone"], r["t1"], r["clean_text"]) for r in out.collect()) == [(0, 0, 0, "0"), (1, 1, 1, "1"), (2, 2, 2, f"{line}\n2")]
