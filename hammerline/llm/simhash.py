@@ -3,9 +3,12 @@
 Fingerprints are the paths of a binary trie.  A pair of nodes of equal depth is visited
 together with the number of bits in which their paths differ; children inherit it, and
 a pair over the error budget is left with everything below it.  Spark deals the trie out
-by its top levels: nodes at ``depth`` are paired when their prefixes are within the
-budget, each pair of nodes is one group, and a group's traversal runs on index ranges of
-its sorted fingerprints, a bounded number of node pairs at a time.
+by its top levels: counts of nodes open the heavy ones, level by level, until each holds a
+bounded number of fingerprints; nodes are paired when their paths are within the budget as
+far as both go, each pair is one group, and a group's traversal runs on index ranges of
+its sorted fingerprints, a bounded number of node pairs at a time.  Fingerprints are
+copied only when the pairs are known, once for each partner of their node; with nodes of
+250,000 that is 16 copies at 2 million fingerprints and 386 at 250 million.
 
 Copies never meet as pairs: the join runs on distinct fingerprints, and a group returns a
 spanning forest of the links it found, at most one edge a fingerprint, so that no class
@@ -17,13 +20,13 @@ each written to the shared folder.
 Defined cases: null and empty texts have no words and the fingerprint zero, linked like
 any other; fewer words than a shingle form one; repeated shingles count each time; rows
 that repeat a doc_id keep their own row; a null doc_id never is a class id unless the
-whole class has none; an empty table gives an empty result.
+whole class has none; of equal fingerprints one takes part and all get its class; very long texts are
+hashed shingle by shingle; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import comb
 
 import numpy as np
 import pandas as pd
@@ -112,7 +115,7 @@ def trie_join(x: np.ndarray, split: int, depth: int, budget: int) -> np.ndarray:
     def cut(lo: np.ndarray, hi: np.ndarray, bit: int) -> np.ndarray:
         if bit not in zeros:
             clear = (x >> np.uint64(bit)) & np.uint64(1) == 0
-            zeros[bit] = np.concatenate(([0], np.cumsum(clear)))
+            zeros[bit] = np.concatenate(([0], np.cumsum(clear))).astype(np.int32)
         return lo + zeros[bit][hi] - zeros[bit][lo]
 
     if split:
@@ -160,36 +163,87 @@ def trie_join(x: np.ndarray, split: int, depth: int, budget: int) -> np.ndarray:
     return label
 
 
-def link_forest(distinct: DataFrame, budget: int = 4, node_rows: int = 25_000, least_depth: int = 3) -> DataFrame:
-    """(u, v): a spanning forest of each node pair's links between distinct fingerprints (fp)."""
+def halves(start: int, depth: int, counts: np.ndarray, most: int) -> list[tuple[int, int, int]]:
+    """(first fingerprint, depth, count) of the nodes below one whose descendants at the last depth have
+    ``counts``: a node of up to ``most`` fingerprints stays whole, and so does one at the last depth."""
+    total = int(counts.sum())
+    if total <= most or len(counts) == 1:
+        return [(start, depth, total)] if total else []
+    middle = len(counts) // 2
+    upper = start + (1 << (63 - depth))
+    return halves(start, depth + 1, counts[:middle], most) + halves(upper, depth + 1, counts[middle:], most)
+
+
+def trie_nodes(distinct: DataFrame, node_rows: int, step: int = 8) -> tuple[np.ndarray, np.ndarray]:
+    """First fingerprints (sorted) and depths of trie nodes that hold all fingerprints, at most ``node_rows`` each.
+
+    Only heavy nodes are opened, ``step`` levels a round; a round brings 2**step counts of a heavy node to the driver."""
+    whole, depth = halves(0, 0, np.array([distinct.count()]), node_rows), 0
+    nodes: list[tuple[int, int, int]] = []
+    while whole:
+        heavy = [start for start, own, n in whole if n > node_rows and own < 64]
+        nodes += [x for x in whole if x[2] <= node_rows or x[1] == 64]
+        if not heavy:
+            break
+        last = min(64, depth + step)
+        above = F.shiftrightunsigned("fp", 64 - depth) if depth else F.lit(0).cast("long")
+        opened = distinct.sparkSession.createDataFrame([(h >> (64 - depth) if depth else 0,) for h in heavy], "above long")
+        inside = distinct.select(above.alias("above"), F.shiftrightunsigned("fp", 64 - last).alias("node")).join(F.broadcast(opened), "above")
+        counts = {h: np.zeros(1 << (last - depth), dtype=np.int64) for h in heavy}
+        for row in inside.groupBy("above", "node").count().collect():  # heavy nodes are few: n / node_rows
+            own = counts[(row["above"] << (64 - depth)) & (2**64 - 1)]
+            own[row["node"] & (len(own) - 1)] = row["count"]
+        whole = [x for h in heavy for x in halves(h, depth, counts[h], node_rows)]
+        depth = last
+    nodes.sort()
+    return np.array([x[0] for x in nodes], dtype=np.uint64), np.array([x[1] for x in nodes], dtype=np.int64)
+
+
+def partners(which: int, starts: np.ndarray, depths: np.ndarray, budget: int) -> np.ndarray:
+    """Numbers of the nodes whose paths differ from one's in at most ``budget`` bits, as far as both go."""
+    common = np.minimum(depths, depths[which])
+    apart = (starts ^ starts[which]) >> np.minimum(64 - common, 63).astype(np.uint64)
+    return np.flatnonzero((common == 0) | (np.bitwise_count(apart) <= budget))
+
+
+def link_forest(distinct: DataFrame, budget: int = 4, node_rows: int = 250_000, least_nodes: int = 8) -> DataFrame:
+    """(u, v): a spanning forest of each node pair's links between distinct fingerprints (fp).
+
+    Nodes hold up to ``node_rows`` fingerprints, down to a tenth of it where that makes ``least_nodes`` nodes."""
     number = distinct.count()
-    depth = least_depth
-    while depth < 16 and number > node_rows << depth:
-        depth += 1
-    node = F.shiftrightunsigned("fp", 64 - depth).cast("int")
-    partners = F.filter(
-        F.sequence(F.lit(0), F.lit((1 << depth) - 1)), lambda y: F.bit_count(y.bitwiseXOR(node)) <= budget
-    )
-    pairs = distinct.select("fp", F.explode(partners).alias("y")).select(
-        "fp", F.least(node, "y").alias("a"), F.greatest(node, "y").alias("b")
-    )
+    starts, depths = trie_nodes(distinct, min(node_rows, max(node_rows // 10, -(-number // least_nodes))))
+    known = distinct.sparkSession.sparkContext.broadcast((starts, depths))  # two numbers a node
+
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        starts, depths = known.value
+        near: dict[int, np.ndarray] = {}
+        for batch in batches:
+            x = batch["fp"].to_numpy().view(np.uint64)
+            node = np.searchsorted(starts, x, side="right") - 1
+            for own in np.unique(node):
+                if own not in near:
+                    near[own] = partners(own, starts, depths, budget)
+                fp = batch["fp"].to_numpy()[node == own]
+                other = np.tile(near[own], len(fp))
+                yield pd.DataFrame({"fp": np.repeat(fp, len(near[own])), "a": np.minimum(own, other), "b": np.maximum(own, other)})
 
     def group(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
         a, b = key
+        starts, depths = known.value
         x = np.unique(frame["fp"].to_numpy().view(np.uint64))
-        split = 0
-        if a != b:
-            split = int(np.searchsorted(x, np.uint64(int(b) << (64 - depth))))
+        split = int(np.searchsorted(x, starts[b])) if a != b else 0
         if len(x) < 2 or (a != b and split in (0, len(x))):
             return pd.DataFrame({"u": np.zeros(0, np.int64), "v": np.zeros(0, np.int64)})
-        label = trie_join(x, split, depth, budget)
+        label = trie_join(x, split, int(min(depths[a], depths[b])), budget)
         moved = np.flatnonzero(label != np.arange(len(x)))
         signed = x.view(np.int64)
         return pd.DataFrame({"u": signed[moved], "v": signed[label[moved]]})
 
+    some = range(0, len(starts), max(1, len(starts) // 256))
+    pairs = int(np.mean([len(partners(i, starts, depths, budget)) for i in some]) * len(starts) / 2) if len(starts) else 1
     # small in bytes and long in work, so the groups are dealt out before they could be coalesced
-    tasks = min(4096, sum(comb(depth, k) for k in range(budget + 1)) << depth >> 1)
-    return pairs.repartition(max(1, tasks // 2), "a", "b").groupBy("a", "b").applyInPandas(group, "u long, v long")
+    dealt = distinct.mapInPandas(deal, "fp long, a int, b int").repartition(max(1, min(4096, pairs // 2)), "a", "b")
+    return dealt.groupBy("a", "b").applyInPandas(group, "u long, v long")
 
 
 def close_classes(edges: DataFrame) -> DataFrame:
@@ -214,7 +268,7 @@ def close_classes(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, width: int = 4, budget: int = 4, node_rows: int = 25_000, with_key: bool = False
+    docs: DataFrame, width: int = 4, budget: int = 4, node_rows: int = 250_000, with_key: bool = False
 ) -> DataFrame:
     """doc_id, fp (signed), component_id: the smallest doc_id of the class.  ``with_key`` adds
     the column text_key of ``docs`` and root, a fingerprint that names the class."""

@@ -75,3 +75,24 @@ def test_large_group_of_near_copies_stays_linear(spark):
 
 def test_empty(no_docs):
     assert S.op5_simhash(no_docs).count() == 0
+
+
+def test_heavy_nodes_are_opened_where_they_are(spark):
+    """Most fingerprints under one long prefix: nodes stay small, and no link is lost between nodes of other depths."""
+    random.seed(8)
+    prefix = random.getrandbits(20) << 44
+    prints = {prefix | random.getrandbits(44) for _ in range(500)} | {random.getrandbits(64) for _ in range(60)}
+    for p in random.sample(sorted(prints), 60):
+        prints.add(p ^ sum(1 << random.randrange(64) for _ in range(3)))
+    x = sorted(prints)
+    nodes = spark.createDataFrame([(p - (1 << 64) if p >> 63 else p,) for p in x], "fp long")
+    starts, depths = S.trie_nodes(nodes, 40)
+    ends = [*starts.tolist()[1:], 1 << 64]
+    assert max(sum(a <= p < b for p in x) for a, b in zip(starts.tolist(), ends)) <= 40 and depths.max() > 20
+    label = slow_classes(x, 4)
+    closed = {r["x"] % (1 << 64): r["root"] % (1 << 64) for r in S.close_classes(S.link_forest(nodes, 4, node_rows=40)).collect()}
+    found, true = {}, {}
+    for i, p in enumerate(x):
+        found.setdefault(closed.get(p, p), set()).add(p)
+        true.setdefault(label[i], set()).add(p)
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, true.values()))
