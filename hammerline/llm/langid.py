@@ -9,7 +9,8 @@ reads whole texts, a stretch at a time.
 
 Defined cases: a null text and one without a letter are ``und`` with score 0; with no
 labelled row every text is ``und``; rows with a null lang or doc_id teach nothing but the
-latter's frequencies; repeated rows and extra columns pass through.
+latter's frequencies; of rows that share doc_id and lang the smallest text teaches; repeated rows and extra
+columns pass through, columns named lang_pred and lang_score are replaced.
 """
 
 from __future__ import annotations
@@ -190,7 +191,8 @@ def train(docs: DataFrame, learn_from: Column, max_docs: int = 600, max_chars: i
         may.filter((F.char_length("text") <= max_chars) & F.col("lang").isNotNull())
         .select("doc_id", "text", "lang")
         .join(F.broadcast(ids), "doc_id")  # max_docs a language
-        .dropDuplicates(["doc_id", "lang"])
+        .groupBy("doc_id", "lang")
+        .agg(F.min("text").alias("text"))
         .orderBy(F.xxhash64("doc_id", "lang"), "doc_id", "lang")
         .toPandas()
     )

@@ -9,8 +9,9 @@ remains is packed by best fit, still on the histogram.  A piece then finds its p
 its length and its rank among pieces of that length; ranks are made from salted counts so
 that a length that a third of all pieces share is not ranked in one task.
 
-Defined cases: null text is empty; an empty text holds the end token only; repeated rows
-are packed each; an empty table gives an empty result; extra columns are left out.
+Defined cases: null text is empty; an empty text holds the end token only; rows that repeat, or
+share or lack a doc_id, are packed each; a very long text becomes many pieces; which of equally long
+pieces gets which place is left open; an empty table gives an empty result; extra columns are left out.
 """
 
 from __future__ import annotations
@@ -198,10 +199,11 @@ def slots(chosen: list[tuple[list[int], int]]) -> dict[int, tuple[np.ndarray, np
 
 
 def pack(pieces: DataFrame, limit: int = 1024) -> DataFrame:
-    """Adds sequence_id and offset to staged ``pieces`` (length, doc_id, piece and any other)."""
+    """Adds sequence_id and offset to ``pieces`` (length and any other columns), which are staged with a number each."""
     from pyspark.sql import Window
 
     spark = pieces.sparkSession
+    pieces = stage(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
     counts = np.zeros(limit + 1, dtype=np.int64)
     for row in pieces.groupBy("length").count().collect():  # at most `limit` rows
         counts[row["length"]] = row["count"]
@@ -213,7 +215,7 @@ def pack(pieces: DataFrame, limit: int = 1024) -> DataFrame:
     if many:
         lookup = F.create_map(*[F.lit(v) for pair in many for v in pair])
         salts = F.coalesce(F.try_element_at(lookup, F.col("length").cast("int")), F.lit(1))
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "piece"), salts))
+    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64("_row"), salts))
     before: dict[int, int] = {}
     starts = {}
     found = salted.groupBy("length", "_salt").count().collect()  # bounded, see share
@@ -221,7 +223,7 @@ def pack(pieces: DataFrame, limit: int = 1024) -> DataFrame:
         starts[row["length"], row["_salt"]] = before.get(row["length"], 0)
         before[row["length"]] = before.get(row["length"], 0) + row["count"]
     firsts = spark.sparkContext.broadcast(starts)
-    within = F.row_number().over(Window.partitionBy("length", "_salt").orderBy("doc_id", "piece")) - 1
+    within = F.row_number().over(Window.partitionBy("length", "_salt").orderBy("_row")) - 1
 
     @F.pandas_udf("struct<sequence_id: long, offset: long>")
     def place(length: pd.Series, salt: pd.Series, rank: pd.Series) -> pd.DataFrame:
@@ -243,14 +245,14 @@ def pack(pieces: DataFrame, limit: int = 1024) -> DataFrame:
         ranked.withColumn("_at", place("length", "_salt", "_rank"))
         .withColumn("sequence_id", F.col("_at.sequence_id"))
         .withColumn("offset", F.col("_at.offset"))
-        .drop("_salt", "_rank", "_at")
+        .drop("_row", "_salt", "_rank", "_at")
     )
 
 
 def pack_documents(
     docs: DataFrame, limit: int = 1024, vocabulary: str | None = None, keep_ids: bool = False
 ) -> DataFrame:
-    return pack(stage(tokenize(docs, vocabulary, limit, keep_ids=keep_ids), "pieces"), limit)
+    return pack(tokenize(docs, vocabulary, limit, keep_ids=keep_ids), limit)
 
 
 def op3_best_fit_packing(docs: DataFrame) -> DataFrame:

@@ -6,13 +6,13 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_kept: list[str] = []
-_recording = False
+_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,11 +20,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one where it is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = spark.sparkContext.getCheckpointDir()
+    """The folder in spark.checkpoint.dir.  Where it is unset a local session gets a temporary one;
+    on a cluster, whose executors would not see that, it is an error."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="hammerline-")
         spark.sparkContext.setCheckpointDir(found)
     return found
@@ -32,8 +33,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 def staged_path(spark: SparkSession, name: str) -> str:
     path = f"{shared_dir(spark)}/hammerline-{name}-{uuid.uuid4().hex[:12]}"
-    if _recording:
-        _kept.append(path)
+    log = _staged.get()
+    if log is not None:
+        log.append(path)
     return path
 
 
@@ -49,22 +51,19 @@ def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
 
 
 @contextmanager
-def recorded(spark: SparkSession, first: bool) -> Iterator[None]:
-    """For a chain of steps that each read what the one before has written out: what a step
-    stages inside is deleted when the next begins.  The first step of a chain deletes
-    nothing, so results of other queries and of earlier chains are left alone."""
-    global _recording
-    if not first:
-        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-        for path in _kept:
-            where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(conf).delete(where, True)
-    _kept.clear()
-    _recording = True
+def recorded() -> Iterator[list[str]]:
+    """The paths staged inside, so that who has written out the result can ``discard`` them."""
+    token = _staged.set([])
     try:
-        yield
+        yield _staged.get()
     finally:
-        _recording = False
+        _staged.reset(token)
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Leaves nothing but an empty file of what was staged."""
+    for path in paths:
+        spark.createDataFrame([], "nothing int").coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def ascii_lower(text: Column) -> Column:

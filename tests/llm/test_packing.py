@@ -22,7 +22,6 @@ def check(rows, limit=1024):
 
 def test_ids_and_packing(spark, docs, odd_docs):
     hf = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    hf.encode_special_tokens = True
     both = docs.select("doc_id", "text").unionByName(odd_docs.select("doc_id", "text").filter("doc_id < 7").selectExpr("doc_id + 100000 AS doc_id", "text"))
     texts = {r["doc_id"]: r["text"] or "" for r in both.collect()}
     rows = P.pack_documents(both).collect()
@@ -46,10 +45,16 @@ def test_ids_and_packing(spark, docs, odd_docs):
 
 def test_tokenizers_agree_on_odd_strings():
     hf = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    hf.encode_special_tokens = True
     bpe = P.encoder(P.default_vocabulary())
     for text in ["", " ", "\n\n  x", "<|endoftext|>", "don't 'll", "a" * 3000, " " * 3000, "é\u0301\u200b٣४", "日本語\u3000テキスト", "\x00\x1f", "𝒳 🙂👍🏽"]:
-        assert bpe.encode_ordinary(text) == hf.encode(text, add_special_tokens=False).ids
+        assert bpe.encode(text, allowed_special="all") == hf.encode(text, add_special_tokens=False).ids
+
+
+def test_rows_without_an_own_id_are_packed_in_many_tasks(spark):
+    none = spark.range(4000).selectExpr("CAST(NULL AS long) AS doc_id", "'a few words' AS text", "1 AS _row", "2 AS sequence_id")
+    rows = P.pack_documents(none).collect()
+    check(rows)
+    assert len(rows) == len({(r["sequence_id"], r["offset"]) for r in rows}) == 4000
 
 
 def test_plan_uses_up_the_histogram():
