@@ -187,8 +187,10 @@ def trie_nodes(distinct: DataFrame, node_rows: int, step: int = 8) -> tuple[np.n
             break
         last = min(64, depth + step)
         above = F.shiftrightunsigned("fp", 64 - depth) if depth else F.lit(0).cast("long")
-        opened = distinct.sparkSession.createDataFrame([(h >> (64 - depth) if depth else 0,) for h in heavy], "above long")
-        inside = distinct.select(above.alias("above"), F.shiftrightunsigned("fp", 64 - last).alias("node")).join(F.broadcast(opened), "above")
+        inside = distinct.select(above.alias("above"), F.shiftrightunsigned("fp", 64 - last).alias("node"))
+        if depth:
+            opened = distinct.sparkSession.createDataFrame([(h >> (64 - depth),) for h in heavy], "above long")
+            inside = inside.join(F.broadcast(opened), "above")  # n / node_rows rows
         counts = {h: np.zeros(1 << (last - depth), dtype=np.int64) for h in heavy}
         for row in inside.groupBy("above", "node").count().collect():  # heavy nodes are few: n / node_rows
             own = counts[(row["above"] << (64 - depth)) & (2**64 - 1)]
@@ -209,9 +211,9 @@ def partners(which: int, starts: np.ndarray, depths: np.ndarray, budget: int) ->
 def link_forest(distinct: DataFrame, budget: int = 4, node_rows: int = 250_000, least_nodes: int = 8) -> DataFrame:
     """(u, v): a spanning forest of each node pair's links between distinct fingerprints (fp).
 
-    Nodes hold up to ``node_rows`` fingerprints, down to a tenth of it where that makes ``least_nodes`` nodes."""
+    Nodes hold up to ``node_rows`` fingerprints, down to a fiftieth of it where that makes ``least_nodes`` nodes."""
     number = distinct.count()
-    starts, depths = trie_nodes(distinct, min(node_rows, max(node_rows // 10, -(-number // least_nodes))))
+    starts, depths = trie_nodes(distinct, min(node_rows, max(node_rows // 50, -(-number // least_nodes))))
     known = distinct.sparkSession.sparkContext.broadcast((starts, depths))  # two numbers a node
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
