@@ -70,23 +70,101 @@ STOP_WORDS = frozenset(
 )
 
 
+#: Fixed values of the published English stemmer (Porter 2): whole words with a stem of their own, words left as
+#: they are, at the start and after plurals went, and the endings of its steps with what they become.
+STEM_OF = {
+    "skis": "ski", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie", "idly": "idl", "gently": "gentl", "ugly": "ugli",
+    "early": "earli", "only": "onli", "singly": "singl",
+}
+STAYS = frozenset("sky news howe atlas cosmos bias andes".split())
+STAYS_SINGULAR = frozenset("inning outing canning herring earring proceed exceed succeed".split())
+STEP_2 = {
+    "ization": "ize", "ational": "ate", "fulness": "ful", "ousness": "ous", "iveness": "ive", "tional": "tion", "biliti": "ble",
+    "lessli": "less", "entli": "ent", "ation": "ate", "alism": "al", "aliti": "al", "ousli": "ous", "iviti": "ive", "fulli": "ful",
+    "enci": "ence", "anci": "ance", "abli": "able", "izer": "ize", "ator": "ate", "alli": "al", "bli": "ble", "ogi": "og", "li": "",
+}
+STEP_3 = {
+    "ational": "ate", "tional": "tion", "alize": "al", "icate": "ic", "iciti": "ic", "ative": "", "ical": "ic", "ness": "", "ful": "",
+}
+STEP_4 = "ement ance ence able ible ment ant ent ism ate iti ous ive ize ion al er ic".split()
+VOWELS = frozenset("aeiouy")
+
+
+def _after_syllable(word: str, start: int) -> int:
+    """Where the region after the first consonant behind a vowel begins."""
+    for i in range(start + 1, len(word)):
+        if word[i] not in VOWELS and word[i - 1] in VOWELS:
+            return i + 1
+    return len(word)
+
+
+def _short_end(word: str) -> bool:
+    """Ends in a short syllable; a consonant y is written Y."""
+    if len(word) == 2:
+        return word[0] in VOWELS and word[1] not in VOWELS
+    return len(word) > 2 and word[-3] not in VOWELS and word[-2] in VOWELS and word[-1] not in VOWELS and word[-1] not in "wxY"
+
+
 def stem(word: str) -> str:
-    """A light English stemmer: plurals, -ed, -ing, -ly and final e or y."""
-    if len(word) <= 3:
+    """The stem of an English word in lower case, by the published Porter 2 rules."""
+    if len(word) <= 2 or word in STAYS:
         return word
-    for ending, put in (("sses", "ss"), ("ies", "i"), ("ss", "ss"), ("us", "us"), ("s", "")):
-        if word.endswith(ending):
-            word = word[: len(word) - len(ending)] + put
-            break
-    for ending in ("ingly", "edly", "ing", "ed", "ly"):
-        rest = word[: len(word) - len(ending)]
-        if word.endswith(ending) and len(rest) > 2 and any(c in "aeiouy" for c in rest):
-            word = rest
-            if len(word) > 2 and word[-1] == word[-2] and word[-1] not in "lsz":
-                word = word[:-1]
-            break
-    if word.endswith("y") and len(word) > 3 and word[-2] not in "aeiou":
+    if word in STEM_OF:
+        return STEM_OF[word]
+    word = "".join("Y" if c == "y" and (i == 0 or word[i - 1] in VOWELS) else c for i, c in enumerate(word))
+    head = next((p for p in ("gener", "commun", "arsen") if word.startswith(p)), "")
+    first = len(head) if head else _after_syllable(word, 0)
+    second = _after_syllable(word, first)
+
+    if word.endswith("sses"):
+        word = word[:-2]
+    elif word.endswith(("ied", "ies")):
+        word = word[:-2] if len(word) > 4 else word[:-1]
+    elif word.endswith("s") and not word.endswith(("us", "ss")) and any(c in VOWELS for c in word[:-2]):
+        word = word[:-1]
+    if word in STAYS_SINGULAR:
+        return word
+
+    ending = next((e for e in ("eedly", "ingly", "edly", "eed", "ing", "ed") if word.endswith(e)), "")
+    rest = word[: len(word) - len(ending)]
+    if ending.startswith("eed"):
+        word = rest + "ee" if len(rest) >= first else word
+    elif ending and any(c in VOWELS for c in rest):
+        word = rest
+        if word.endswith(("at", "bl", "iz")):
+            word += "e"
+        elif len(word) > 1 and word[-1] == word[-2] and word[-1] in "bdfgmnprt":
+            word = word[:-1]
+        elif len(word) <= first and _short_end(word):
+            word += "e"
+    if len(word) > 2 and word[-1] in "yY" and word[-2] not in VOWELS:
         word = word[:-1] + "i"
-    if word.endswith("e") and len(word) > 4:
+
+    ending = next((e for e in STEP_2 if word.endswith(e)), "")
+    rest = word[: len(word) - len(ending)]
+    fits = {"li": rest[-1:] in tuple("cdeghkmnrt"), "ogi": rest.endswith("l")}.get(ending, True)
+    if ending and len(rest) >= first and fits:
+        word = rest + STEP_2[ending]
+    ending = next((e for e in STEP_3 if word.endswith(e)), "")
+    rest = word[: len(word) - len(ending)]
+    if ending and len(rest) >= (second if ending == "ative" else first):
+        word = rest + STEP_3[ending]
+    ending = next((e for e in STEP_4 if word.endswith(e)), "")
+    rest = word[: len(word) - len(ending)]
+    if ending and len(rest) >= second and (ending != "ion" or rest.endswith(("s", "t"))):
+        word = rest
+    if word.endswith("e"):
+        rest = word[:-1]
+        if len(rest) >= second or len(rest) >= first and not _short_end(rest):
+            word = rest
+    elif word.endswith("ll") and len(word) - 1 >= second:
         word = word[:-1]
-    return word
+    return word.replace("Y", "y")
+
+
+#: What a reader sees of a page: text without comments, scripts and styles.
+UNSEEN = r"(?is)<!--.*?-->|<(script|style|template)\b.*?</\1\s*>"
+
+
+def page_text(html: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(html, UNSEEN, ""), r"<[^>]*>", "")

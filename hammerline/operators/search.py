@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import at_least, at_most, like, page, where
 from ..functions.text import STOP_WORDS, query_terms, stem, term_rank, tokens
-from ..plans.market import Market, lots_enriched
+from ..plans.market import Market, enrich
 from .listings import as_double
 
 
@@ -22,22 +22,33 @@ def match(df: DataFrame, words, terms: list[str]) -> DataFrame:
     return kept.withColumn("rank", term_rank(F.col("_words"), terms)).drop("_words")
 
 
+def _terms(query: str, english: bool) -> list[str]:
+    terms = query_terms(query)
+    return list(dict.fromkeys(stem(t) for t in terms if t not in STOP_WORDS)) if english else terms
+
+
+def _words(text: Column, english: bool) -> Column:
+    return stemmed(tokens(text)) if english else tokens(text)
+
+
 def search_lots(
     m: Market, query: str, limit: int = 50, offset: int = 0, artist: str | None = None, category: str | None = None,
-    house: str | None = None, price_min=None, price_max=None,
+    house: str | None = None, price_min=None, price_max=None, english: bool = False,
 ) -> DataFrame:
-    found = match(lots_enriched(m), tokens(F.coalesce("title", F.lit(""))), query_terms(query))
+    """Titles are matched before they meet lots, so each is cut into words once and only hits are joined.
+    ``english`` leaves stop words out and compares stems."""
+    titles = match(m.titles, _words(F.coalesce("title", F.lit("")), english), _terms(query, english))
+    lots = where(m.plain_lots, at_least("final_price", price_min), at_most("final_price", price_max))
     found = where(
-        found, like("artist_name", artist), like("category_name", category), like("house_name", house),
-        at_least("final_price", price_min), at_most("final_price", price_max),
-    )
+        enrich(m, lots.join(titles, "part_id")), like("artist_name", artist), like("category_name", category), like("house_name", house)
+    )
     ordered = found.orderBy(F.desc("rank"), F.col("final_price").desc_nulls_last(), "id")
     return as_double(page(ordered, limit, offset).select("id", "title", "final_price", "artist_name", "category_name", "house_name", "rank"))
 
 
-def search_artists(m: Market, query: str, limit: int = 20, offset: int = 0) -> DataFrame:
+def search_artists(m: Market, query: str, limit: int = 20, offset: int = 0, english: bool = False) -> DataFrame:
     text = F.concat(F.col("name"), F.lit(" "), F.coalesce("nationality", F.lit("")))
-    found = match(m.artists, tokens(text), query_terms(query))
+    found = match(m.artists, _words(text, english), _terms(query, english))
     return page(found.orderBy(F.desc("rank"), "name", "id"), limit, offset)
 
 
@@ -70,7 +81,7 @@ def stemmed(words: Column) -> Column:
 
 def search_texts_stemmed(docs: DataFrame, query: str, limit: int = 20) -> DataFrame:
     """English form: stop words left out, words reduced to stems on both sides."""
-    terms = list(dict.fromkeys(stem(t) for t in query_terms(query) if t not in STOP_WORDS))
+    terms = _terms(query, True)
     found = match(docs.select("doc_id", "text"), stemmed(tokens(F.coalesce("text", F.lit("")))), terms)
     return found.select("doc_id", "rank").orderBy(F.desc("rank"), "doc_id").limit(limit)
 
@@ -90,3 +101,22 @@ def search_index(index: DataFrame, query: str, limit: int = 20) -> DataFrame:
     hits = index.filter(F.col("token").isin(terms)).groupBy("doc_id").agg(F.sum(part).alias("s"))
     rank = F.round(F.col("s") * WEIGHT / ZETA_2 / max(1, len(terms)), 6)
     return hits.select("doc_id", rank.alias("rank")).orderBy(F.desc("rank"), "doc_id").limit(limit)
+
+
+def _bucket(token: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(token), F.lit(buckets)).cast("int")
+
+
+def store_index(docs: DataFrame, path: str, buckets: int = 64) -> None:
+    """Writes the inverted index once, in folders by token hash."""
+    index = inverted_index(docs).withColumn("bucket", _bucket(F.col("token"), buckets))
+    index.repartition("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(16))).write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+
+def search_stored(index: DataFrame, query: str, limit: int = 20, buckets: int = 64) -> DataFrame:
+    """Search over a stored index: only the folders that the query's terms hash to are read."""
+    terms = query_terms(query)
+    if not terms:
+        return search_index(index.filter(F.lit(False)), query, limit)
+    wanted = index.sparkSession.range(1).select(*[_bucket(F.lit(t), buckets) for t in terms]).first()
+    return search_index(index.filter(F.col("bucket").isin(sorted(set(wanted)))), query, limit)

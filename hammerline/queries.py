@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .functions import measures as M
 from .functions import parsers as P
+from .functions import text as T
 from .operators import analytics as A
 from .operators import basic as B
 from .operators import changes as C
@@ -111,15 +112,16 @@ def _html_lots(s: SparkSession, d: str) -> DataFrame:
     return found.select(
         "page_id", "lot_number", "title", "description", P.extract_artist(F.concat_ws(" ", "title", "description")).alias("artist_name"),
         "price.min_price", "price.max_price", "price.sold", "price.final_price", "details.dimensions", "details.medium", "details.category",
-        F.lit("COP").alias("currency"),
+        F.lit("COP").alias("currency"), "images", "external_id",
     )
 
 
 def _parsed_pages(s: SparkSession, d: str) -> DataFrame:
-    pages = read_table(s, d, "pages")
-    dates = P.extract_dates(F.col("html"))
-    return pages.select(
-        "page_id", P.page_type(F.col("html")).alias("auction_type"), dates["start"].alias("start_date"), dates["end"].alias("end_date"),
+    text = T.page_text(F.col("html"))
+    dates = P.extract_dates(text)
+    return read_table(s, d, "pages").select(
+        "page_id", P.page_type(text).alias("auction_type"), dates["start"].alias("start_date"), dates["end"].alias("end_date"),
+        H.description(F.col("html")).alias("description"), F.when(text.rlike("Bogotá|Colombia|Lugar|Location"), "Bogotá, Colombia").alias("location"),
         H.images(F.col("html")).alias("images"),
     )
 
@@ -219,6 +221,8 @@ def market_queries() -> dict[str, Callable[[Market], DataFrame]]:
         "orders_with_lots_semi": L.auctions_with_lots,
         "union_active_historical": L.active_and_historical,
         "lots_search": lambda m: S.search_lots(m, "small ring", category="brand#1", price_min=5000),
+        "lots_search_stemmed": lambda m: S.search_lots(m, "the rings smalls", category="brand#1", price_min=5000, english=True),
+        "artists_search_stemmed": lambda m: S.search_artists(m, "suppliers of nations 7", english=True),
         "artists_search": lambda m: S.search_artists(m, "supplier#000000007 nation_3"),
         "auction_rollup_refresh": C.auction_rollup,
         "ingest_log_summary": lambda m: C.run_log(m.changes),
@@ -290,12 +294,12 @@ def queries() -> dict[str, Query]:
     return found | {
         "texts_search": lambda s, d: S.search_texts(docs(s, d), "the license"),
         "texts_search_indexed": lambda s, d: S.search_index(S.inverted_index(docs(s, d)), "the license"),
-        "lots_search_stemmed": lambda s, d: S.search_texts_stemmed(docs(s, d), "licenses released"),
+        "texts_search_stemmed": lambda s, d: S.search_texts_stemmed(docs(s, d), "licenses released"),
         "html_links": lambda s, d: H.links(pages(s, d)),
         "html_lots": _html_lots,
         "parsed_pages": _parsed_pages,
         "extract_external_id": lambda s, d: pages(s, d).select("page_id", P.external_id(F.col("url")).alias("external_id")),
-        "classify_page_type": lambda s, d: pages(s, d).select("page_id", P.page_type(F.col("html")).alias("auction_type")),
+        "classify_page_type": lambda s, d: pages(s, d).select("page_id", P.page_type(T.page_text(F.col("html"))).alias("auction_type")),
         "extract_artist": lambda s, d: _part_text(s, d).select("id", P.extract_artist(F.col("artist")).alias("artist")),
         "extract_lot_details": lambda s, d: _part_text(s, d).withColumn("x", P.lot_details(F.col("details"))).select("id", "x.*"),
         "extract_images": lambda s, d: _part_text(s, d).select("id", F.explode(H.images(F.col("html"), "https://h")).alias("image")),

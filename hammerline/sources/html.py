@@ -10,25 +10,42 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.parsers import external_id
-from ..functions.text import absolute_url, last_segment
+from ..functions.text import absolute_url, last_segment, page_text
 
-LINK = r'<a\s[^>]*href="([^"]*)"[^>]*>([^<]*)</a>'
-IMAGE = r'<img\s[^>]*?(?:data-)?src="([^"]*)"'
+LINK = r"""(?is)<a\s([^>]*)>(.*?)</a>"""
+IMAGE = r"(?is)<img\s[^>]*>"
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """The value of an attribute in either kind of quotes, NULL for none or an empty one."""
+    pattern = rf"""(?i)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)')"""
+    return F.nullif(F.concat(F.regexp_extract(tag, pattern, 1), F.regexp_extract(tag, pattern, 2)), F.lit(""))
 
 
 def links(pages: DataFrame, base: str = "") -> DataFrame:
-    """One row a link with a text: page_id, href, url, title, slug, external_id."""
+    """One row a link with a text: page_id, href, url, title (without inner markup), slug, external_id, and the
+    status a listing gives it: active for titles of current auctions, completed for other links to auctions."""
     hits = pages.select("page_id", F.explode(F.regexp_extract_all("html", F.lit(LINK), F.lit(0))).alias("a"))
-    parts = hits.select("page_id", F.regexp_extract("a", LINK, 1).alias("href"), F.trim(F.regexp_extract("a", LINK, 2)).alias("title"))
-    return parts.filter((F.char_length("href") > 0) & (F.char_length("title") > 0)).select(
+    inner = F.regexp_replace(F.regexp_extract("a", LINK, 2), "<[^>]*>", "")
+    tag = F.concat(F.lit("<a "), F.regexp_extract("a", LINK, 1), F.lit(">"))
+    parts = hits.select("page_id", _attribute(tag, "href").alias("href"), F.trim(inner).alias("title"), _attribute(tag, "class").alias("names"))
+    status = F.when(F.coalesce(F.col("names"), F.lit("")).rlike(r"(^|\s)titulo-subasta(\s|$)"), "active").when(F.col("href").contains("subasta"), "completed")
+    return parts.filter(F.col("href").isNotNull() & (F.char_length("title") > 0)).select(
         "page_id", "href", absolute_url(F.col("href"), base).alias("url"), "title",
-        last_segment(F.col("href")).alias("slug"), external_id(F.col("href")).alias("external_id"),
+        last_segment(F.col("href")).alias("slug"), external_id(F.col("href")).alias("external_id"), status.alias("status"),
     )
 
 
 def images(html: Column, base: str = "") -> Column:
-    """Absolute sources of all images of a page, in order."""
-    return F.transform(F.regexp_extract_all(html, F.lit(IMAGE), F.lit(1)), lambda s: absolute_url(s, base))
+    """Absolute sources of all images of a page, in order; data-src stands in for a missing src."""
+    sources = F.transform(F.regexp_extract_all(html, F.lit(IMAGE), F.lit(0)), lambda tag: F.coalesce(_attribute(tag, "src"), _attribute(tag, "data-src")))
+    return F.transform(F.filter(sources, lambda s: s.isNotNull()), lambda s: absolute_url(s, base))
+
+
+def description(html: Column) -> Column:
+    """The text of the first div of the classes descripcion-subasta or, without any, description."""
+    found = [F.regexp_extract(html, rf"""(?is)<div\s[^>]*class=["'](?:[^"']*\s)?{name}(?:\s[^"']*)?["'][^>]*>(.*?)</div>""", 1) for name in ("descripcion-subasta", "description")]
+    return F.coalesce(*[F.nullif(F.trim(page_text(x)), F.lit("")) for x in found])
 
 
 class _Lots(HTMLParser):
@@ -58,12 +75,16 @@ class _Lots(HTMLParser):
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         names = dict(attrs).get("class") or ""
+        source = dict(attrs).get("src") or dict(attrs).get("data-src")
+        if tag == "img" and source:
+            for _, row in self.open:
+                row["images"].append(source)
         if tag in self.VOID:
             return
         self.stack.append((tag, names))
         rank = self.rank(tag, names)
         if rank is not None:
-            row = {"rank": rank, "number": "", "title": "", "description": "", "price": "", "text": "", "done": set()}
+            row = {"rank": rank, "number": "", "title": "", "description": "", "price": "", "text": "", "images": [], "done": set()}
             self.found.append(row)
             self.open.append((len(self.stack), row))
         for depth, row in self.open:
@@ -99,14 +120,14 @@ class _Lots(HTMLParser):
 
 
 def page_lots(html: str | None) -> list[tuple]:
-    """(lot_number, title, description, price_text, text) of a page, titled ones only."""
+    """(lot_number, title, description, price_text, text, image sources) of a page, titled ones only."""
     parser = _Lots()
     parser.feed((html or "").replace("<![", "<!"))
     parser.close()
     for rank in range(5):
         own = [r for r in parser.found if r["rank"] == rank]
         rows = [
-            (r["number"].strip() or "N/A", r["title"].strip(), r["description"].strip() or None, r["price"], r["text"])
+            (r["number"].strip() or "N/A", r["title"].strip(), r["description"].strip() or None, r["price"], r["text"], r["images"])
             for r in own
             if r["title"].strip()
         ]
@@ -115,14 +136,16 @@ def page_lots(html: str | None) -> list[tuple]:
     return []
 
 
-def lots(pages: DataFrame) -> DataFrame:
-    """One row a lot of each page."""
+def lots(pages: DataFrame, base: str = "") -> DataFrame:
+    """One row a lot of each page; its external_id is that of the page with the lot number, NULL without one."""
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = ["page_id", "lot_number", "title", "description", "price_text", "text"]
+        names = ["page_id", "url", "lot_number", "title", "description", "price_text", "text", "images"]
         for batch in batches:
-            out = [(i, *lot) for i, html in zip(batch["page_id"], batch["html"]) for lot in page_lots(html)]
+            out = [(i, url, *lot) for i, url, html in zip(batch["page_id"], batch["url"], batch["html"]) for lot in page_lots(html)]
             yield pd.DataFrame(out, columns=names).astype({"page_id": "int64"})
 
-    schema = "page_id long, lot_number string, title string, description string, price_text string, text string"
-    return pages.select("page_id", "html").mapInPandas(rows, schema)
+    schema = "page_id long, url string, lot_number string, title string, description string, price_text string, text string, images array<string>"
+    found = pages.select("page_id", "url", "html").mapInPandas(rows, schema)
+    own = F.concat(external_id(F.col("url")), F.lit("_"), F.col("lot_number"))
+    return found.withColumn("images", F.transform("images", lambda s: absolute_url(s, base))).withColumn("external_id", own).drop("url")
