@@ -132,6 +132,20 @@ def run_log(changes: DataFrame) -> DataFrame:
     )
 
 
+def run_log_rows(runs: DataFrame) -> DataFrame:
+    """The rows runs append to a log: one that says started and, for an ended run, one that says
+    completed or, with an error message, failed.  ``runs`` holds house_id, task_type, started_at,
+    ended_at, items_processed, items_created and error_message."""
+    names = ["status", "start_time", "end_time", "items_processed", "items_created", "error_message"]
+    none = F.lit(None).cast("timestamp_ntz")
+    ended = F.when(F.col("error_message").isNull(), "completed").otherwise("failed")
+    counts = [F.coalesce(F.col(c), F.lit(0)).cast("long") for c in ("items_processed", "items_created")]
+    first = [F.lit("started"), F.col("started_at"), none, F.lit(0).cast("long"), F.lit(0).cast("long"), F.lit(None).cast("string")]
+    last = [ended, F.col("ended_at"), F.col("ended_at"), *counts, F.col("error_message")]
+    entries = F.array(*[F.struct(*[v.alias(n) for n, v in zip(names, row)]) for row in (first, last)])
+    return runs.select("house_id", "task_type", F.inline(F.filter(entries, lambda e: e["start_time"].isNotNull())))
+
+
 def write_state(df: DataFrame, path: str) -> str:
     """Write a rewritten table beside its source, never over what the plan still reads."""
     target = f"{path.rstrip('/')}-{uuid.uuid4().hex[:8]}"

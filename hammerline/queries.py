@@ -21,7 +21,7 @@ from .plans import oracle
 from .plans.market import NOW, Market, from_tables
 from .sources import html as H
 from .sources import seeds
-from .sources.tables import read_table
+from .sources.tables import read_table, to_json_rows
 from .streaming import ingest as I
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,15 +117,27 @@ def _html_lots(s: SparkSession, d: str) -> DataFrame:
 
 
 def _parsed_pages(s: SparkSession, d: str) -> DataFrame:
-    text = T.page_text(F.col("html"))
-    dates = P.extract_dates(text)
-    return read_table(s, d, "pages").select(
-        "page_id", P.page_type(text).alias("auction_type"), dates["start"].alias("start_date"), dates["end"].alias("end_date"),
-        H.description(F.col("html")).alias("description"), F.when(text.rlike("Bogotá|Colombia|Lugar|Location"), "Bogotá, Colombia").alias("location"),
-        H.images(F.col("html")).alias("images"),
+    return H.details(read_table(s, d, "pages")).drop("url")
+
+
+def _runs(m: Market) -> DataFrame:
+    """Each change event as a run of its kind; every seventh one hasn't ended."""
+    ended = F.when(F.col("id") % 7 != 0, F.col("at") + F.expr("INTERVAL 1 MINUTE"))
+    error = F.when(F.col("kind") == "error", F.concat(F.lit("event "), F.col("id").cast("string")))
+    return m.changes.select(
+        "house_id", F.col("kind").alias("task_type"), F.col("at").cast("timestamp_ntz").alias("started_at"), ended.cast("timestamp_ntz").alias("ended_at"),
+        (F.col("id") % 10).alias("items_processed"), (F.col("id") % 3).alias("items_created"), error.alias("error_message"),
     )
 
 
+def _strategies(m: Market) -> DataFrame:
+    """Every other house is configured for static pages, every third for a kind without a parser."""
+    text = F.when(F.col("id") % 2 == 0, '{"strategy":"html_static"}').when(F.col("id") % 3 == 0, '{"strategy":"browser"}')
+    houses = seeds.with_config(m.houses.withColumn("scraping_config", text))
+    configured = seeds.config_value("scraping_config", "$.strategy", "")
+    return houses.select("id", "name", configured.alias("configured"), H.strategy(F.col("name"), configured, {"NATION_1": "html_static"}).alias("strategy"))
+
+
 def _trend_text(m: Market) -> DataFrame:
     """The parallel arrays as comma-joined text, values to four places."""
     values = F.transform("values", lambda v: v.cast("decimal(18,4)").cast("string"))
@@ -226,6 +238,12 @@ def market_queries() -> dict[str, Callable[[Market], DataFrame]]:
         "artists_search": lambda m: S.search_artists(m, "supplier#000000007 nation_3"),
         "auction_rollup_refresh": C.auction_rollup,
         "ingest_log_summary": lambda m: C.run_log(m.changes),
+        "run_log_rows": lambda m: C.run_log_rows(_runs(m)),
+        "house_strategies": _strategies,
+        "houses_json": lambda m: to_json_rows(m.houses.select("id", "name", "country", "status", F.nullif("country", F.lit("ASIA")).alias("abroad"))),
+        "artist_update_stamped": lambda m: _changed(
+            C.update(m.artists, F.col("id") == ARTIST, {"verified": False}, stamp="updated_at"), "id", "name", "verified", "updated_at"
+        ),
         "auction_insert": _insert_auctions,
         "artist_insert": lambda m: C.insert(
             m.artists,
@@ -296,6 +314,7 @@ def queries() -> dict[str, Query]:
         "texts_search_indexed": lambda s, d: S.search_index(S.inverted_index(docs(s, d)), "the license"),
         "texts_search_stemmed": lambda s, d: S.search_texts_stemmed(docs(s, d), "licenses released"),
         "html_links": lambda s, d: H.links(pages(s, d)),
+        "html_auctions": lambda s, d: H.auctions(pages(s, d)).select("page_id", "url", "title", "slug", "external_id", "status", "auction_type", "location"),
         "html_lots": _html_lots,
         "parsed_pages": _parsed_pages,
         "extract_external_id": lambda s, d: pages(s, d).select("page_id", P.external_id(F.col("url")).alias("external_id")),

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.parsers import external_id
+from ..functions.parsers import external_id, extract_dates, page_type
 from ..functions.text import absolute_url, last_segment, page_text
 
 LINK = r"""(?is)<a\s([^>]*)>(.*?)</a>"""
 IMAGE = r"(?is)<img\s[^>]*>"
+PLACE = "Bogotá, Colombia"
 
 
 def _attribute(tag: Column, name: str) -> Column:
@@ -48,6 +50,28 @@ def description(html: Column) -> Column:
     return F.coalesce(*[F.nullif(F.trim(page_text(x)), F.lit("")) for x in found])
 
 
+def details(pages: DataFrame, base: str = "") -> DataFrame:
+    """What a page says of its auction: page_id, url, auction_type, start_date, end_date, description, location, images."""
+    text = page_text(F.col("html"))
+    dates = extract_dates(text)
+    return pages.select(
+        "page_id", "url", page_type(text).alias("auction_type"), dates["start"].alias("start_date"), dates["end"].alias("end_date"),
+        description(F.col("html")).alias("description"), F.when(text.rlike("Bogotá|Colombia|Lugar|Location"), PLACE).alias("location"),
+        images(F.col("html"), base).alias("images"),
+    )
+
+
+def auctions(pages: DataFrame, base: str = "") -> DataFrame:
+    """One row a link, with the details of the page it leads to; where no page has that url, the defaults hold.
+    Of several pages with one url the one with the smallest page_id counts."""
+    told = details(pages, base).filter(F.col("url").isNotNull())
+    one = told.groupBy("url").agg(F.min_by(F.struct("auction_type", "start_date", "end_date", "description", "location"), "page_id").alias("d"))
+    return links(pages, base).join(one, "url", "left").select(
+        "page_id", "url", "title", "slug", "external_id", "status", F.coalesce("d.auction_type", F.lit("hybrid")).alias("auction_type"),
+        "d.start_date", "d.end_date", "d.description", F.coalesce("d.location", F.lit(PLACE)).alias("location"),
+    )
+
+
 class _Lots(HTMLParser):
     """Collects candidate elements with their title, number, price and description."""
 
@@ -149,3 +173,21 @@ def lots(pages: DataFrame, base: str = "") -> DataFrame:
     found = pages.select("page_id", "url", "html").mapInPandas(rows, schema)
     own = F.concat(external_id(F.col("url")), F.lit("_"), F.col("lot_number"))
     return found.withColumn("images", F.transform("images", lambda s: absolute_url(s, base))).withColumn("external_id", own).drop("url")
+
+
+PARSERS: dict[str, Callable[[DataFrame, str], DataFrame]] = {"html_static": lots}
+
+
+def strategy(name: Column, configured: Column, named: dict[str, str]) -> Column:
+    """The parser of a house: that of its name, else the configured one; NULL if there is none of that kind."""
+    own = F.lit(None).cast("string")
+    for house, kind in named.items():
+        own = F.when(name == house, kind).otherwise(own)
+    found = F.coalesce(own, configured)
+    return F.when(found.isin(*PARSERS), found)
+
+
+def lots_by_strategy(pages: DataFrame, base: str = "") -> DataFrame:
+    """The lots of pages that carry the ``strategy`` of their house; pages without a parser give none."""
+    parts = [parse(pages.filter(F.col("strategy") == kind), base) for kind, parse in PARSERS.items()]
+    return reduce(DataFrame.unionByName, parts)

@@ -6,7 +6,10 @@ intervals, which ``availableNow`` triggers express.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from datetime import datetime
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -22,6 +25,8 @@ EVENT = T.StructType(
     ]
 )
 
+RUN = "batch long, status string, start_time timestamp, end_time timestamp, items_processed long, items_created long"
+
 
 def read_events(spark: SparkSession, path: str, files_per_batch: int = 100) -> DataFrame:
     """A file stream; watermarks need a zoned time."""
@@ -53,27 +58,44 @@ def sessions(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
     )
 
 
-def insert_absent(batch: DataFrame, path: str, keys: list[str]) -> None:
-    """Append rows whose keys the table at ``path`` lacks; a replayed batch adds nothing."""
+def insert_absent(batch: DataFrame, path: str, keys: list[str], within: str | None = None) -> int:
+    """Append rows whose keys the table at ``path`` lacks and say how many; a replayed batch adds nothing.
+
+    ``within`` names a key whose values arrive roughly in order, such as a time: the table is then read only
+    between the batch's bounds, which partitions and row group statistics prune."""
     spark = batch.sparkSession
     new = batch.dropDuplicates(keys)
     try:
         known = spark.read.schema(batch.schema).parquet(path)
-        new = new.join(known.select(*keys), keys, "left_anti")
-    except Exception as error:  # the first batch finds no table
-        if "PATH_NOT_FOUND" not in str(error):
+    except AnalysisException as error:  # the first batch finds no table
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
-    new.write.mode("append").parquet(path)
-
-
-def ingest_once(events: DataFrame, path: str, checkpoint: str, keys: list[str]) -> StreamingQuery:
-    """Everything that has arrived, in one run."""
-    return (
-        events.writeStream.option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .foreachBatch(lambda batch, _: insert_absent(batch, path, keys))
-        .start()
-    )
+        known = None
+    if known is not None and within:
+        low, high = batch.agg(F.min(within), F.max(within)).first()
+        known = known.filter(F.col(within).between(F.lit(low), F.lit(high)))
+    if known is not None:
+        new = new.join(known.select(*keys), keys, "left_anti")
+    seen = Observation()
+    new.observe(seen, F.count(F.lit(1)).alias("created")).write.mode("append").parquet(path)
+    return seen.get["created"]
+
+
+def ingest_once(
+    events: DataFrame, path: str, checkpoint: str, keys: list[str], within: str | None = None, log: str | None = None
+) -> StreamingQuery:
+    """Everything that has arrived, in one run.  ``log`` is a table that gets a row for each batch:
+    its number, status, times, rows read and rows created."""
+
+    def batch(rows: DataFrame, number: int) -> None:
+        began = datetime.now()
+        created = insert_absent(rows, path, keys, within)
+        if log:
+            line = (number, "completed", began, datetime.now(), rows.count(), created)
+            rows.sparkSession.createDataFrame([line], RUN).write.mode("append").parquet(log)
+
+    stream = events.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    return stream.foreachBatch(batch).start()
 
 
 def live(events: DataFrame, kinds: list[str]) -> DataFrame:

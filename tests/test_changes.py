@@ -1,3 +1,5 @@
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,8 +51,21 @@ def test_streamed_ingest_is_idempotent(spark, tmp_path):
     events.write.parquet(source)
     for run in ("one", "two"):  # a fresh checkpoint replays everything
         stream = ingest.read_events(spark, source)
-        ingest.ingest_once(stream, target, f"{tmp_path}/{run}", ["event_id"]).awaitTermination()
+        ingest.ingest_once(stream, target, f"{tmp_path}/{run}", ["event_id", "ts"], "ts", f"{tmp_path}/log").awaitTermination()
         assert spark.read.parquet(target).count() == events.count()
+    log = spark.read.parquet(f"{tmp_path}/log").orderBy("start_time").collect()
+    assert {r["items_processed"] for r in log} == {events.count()}
+    assert [r["items_created"] for r in log] == [events.count(), 0]
+
+
+def test_run_log_rows_say_how_a_run_ended(spark):
+    schema = "house_id long, task_type string, started_at timestamp_ntz, ended_at timestamp_ntz, items_processed long, items_created long, error_message string"
+    at = datetime(2001, 1, 1)
+    runs = spark.createDataFrame([(1, "a", at, at, 3, 2, None), (2, "a", at, at, None, None, "no page"), (3, "a", at, None, None, None, None)], schema)
+    rows = [(r["house_id"], r["status"], r["items_processed"], r["error_message"]) for r in C.run_log_rows(runs).collect()]
+    assert sorted(rows, key=lambda r: (r[0], r[1])) == [
+        (1, "completed", 3, None), (1, "started", 0, None), (2, "failed", 0, "no page"), (2, "started", 0, None), (3, "started", 0, None),
+    ]
 
 
 def test_stream_windows(spark, tmp_path):

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from hammerline.functions import parsers as P
 from hammerline.functions import text as T
 from hammerline.operators.search import search_index, inverted_index, search_texts
+from hammerline.sources import html as H
 from hammerline.sources.html import page_lots
 
 
@@ -132,7 +133,6 @@ def test_stored_index_reads_only_its_folders(spark, tmp_path):
 
 
 def test_links_images_and_descriptions_of_pages(spark):
-    from hammerline.sources import html as H
 
     page = """<a class='x titulo-subasta' href='/es/subasta/12/arte'><b>Arte</b> vivo</a> <a href="/b">B</a><a href="">no</a><a name="x">no</a>
       <script>var a = "<a href='/c'>online</a>";</script><img data-src="//c/1.jpg" src="/2.jpg"><img lowsrc="/no.jpg" data-src='/3.jpg'>
@@ -145,3 +145,20 @@ def test_links_images_and_descriptions_of_pages(spark):
     lot = '<div class="lote"><span class="numero">7</span><h3>Vase</h3><img src="/v.jpg"></div>'
     own = H.lots(spark.createDataFrame([(1, lot, "https://h/subasta/7"), (2, lot, "https://h/x")], "page_id long, html string, url string"), "https://h")
     assert sorted((r["external_id"] or "", r["images"]) for r in own.collect()) == [("", ["https://h/v.jpg"]), ("7_7", ["https://h/v.jpg"])]
+
+
+def test_auctions_take_the_details_of_the_page_they_lead_to(spark):
+    listing = '<a class="titulo-subasta" href="/es/subasta/12">Spring</a><a href="/es/subasta/13">Autumn</a><a href="/x"></a>'
+    page = '<div class="description">Fine <b>art</b></div><p>Subasta virtual, 3 de mayo de 2021 19:30</p>'
+    df = spark.createDataFrame([(1, "https://h/list", listing), (2, "https://h/es/subasta/12", page), (3, "https://h/es/subasta/12", "live")], "page_id long, url string, html string")
+    rows = {r["title"]: r for r in H.auctions(df, "https://h").collect()}
+    assert {t: (r["status"], r["auction_type"], r["description"], r["external_id"]) for t, r in rows.items()} == {
+        "Spring": ("active", "online", "Fine art", "12"), "Autumn": ("completed", "hybrid", None, "13"),
+    }
+    assert str(rows["Spring"]["start_date"]).startswith("2021-05-03")
+
+
+def test_lots_by_strategy_leave_pages_without_a_parser(spark):
+    html = '<div class="lote"><h2>Vase</h2></div>'
+    df = spark.createDataFrame([(1, "/1", html, "html_static"), (2, "/2", html, "browser"), (3, "/3", html, None)], "page_id long, url string, html string, strategy string")
+    assert [r["page_id"] for r in H.lots_by_strategy(df).collect()] == [1]
