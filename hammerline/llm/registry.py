@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
-from . import conversation_trie, decontam, html_text, langid, line_runs, packing, pii, simhash, token_alignment, topk, toxicity, url_cascade
+from . import conversation_trie, decontam, html_text, langid, license_scan, line_runs, packing, pii, simhash, token_alignment, topk, toxicity, url_cascade
 from .shared import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,7 @@ def queries() -> dict[str, Query]:
         "op9_exact_topk": lambda s, d: topk.op9_exact_topk(table(s, d, "embeddings")),
         "op10_language_id": lambda s, d: langid.op10_language_id(table(s, d, "documents")),
         "op11_token_alignment": lambda s, d: token_alignment.op11_token_alignment(table(s, d, "documents")),
+        "op12_license_scan": lambda s, d: license_scan.op12_license_scan(table(s, d, "documents")),
         "op13_conversation_trie": lambda s, d: conversation_trie.op13_conversation_trie(table(s, d, "conversations")),
         "pipeline": corpus_pipeline.run,
     }
@@ -38,5 +39,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_url_filter": url_cascade.OP1_SQL,
         "op6_line_dedup": line_runs.OP6_SQL,
         "op9_exact_topk": topk.OP9_SQL,
+        "op12_license_scan": license_scan.OP12_SQL,
         "op13_conversation_trie": conversation_trie.OP13_SQL,
     }
