@@ -12,6 +12,7 @@ from ..functions.predicates import at_least, at_most, like, page, where
 from ..functions.text import STOP_WORDS, query_terms, stem, term_rank, tokens
 from ..plans.market import Market, enrich
 from .listings import as_double
+from .text_index import TextIndex
 
 
 def match(df: DataFrame, words, terms: list[str]) -> DataFrame:
@@ -31,6 +32,17 @@ def _words(text: Column, english: bool) -> Column:
     return stemmed(tokens(text)) if english else tokens(text)
 
 
+def _lots_of(m: Market, titles: DataFrame, artist: str | None, category: str | None, house: str | None, price_min, price_max) -> DataFrame:
+    """The lots of ranked titles that pass the filters, with everything a listing shows."""
+    lots = where(m.plain_lots, at_least("final_price", price_min), at_most("final_price", price_max))
+    return where(
+        enrich(m, lots.join(titles, "part_id")), like("artist_name", artist), like("category_name", category), like("house_name", house)
+    )
+
+
+SHOWN = ["id", "title", "final_price", "artist_name", "category_name", "house_name", "rank"]
+
+
 def search_lots(
     m: Market, query: str, limit: int = 50, offset: int = 0, artist: str | None = None, category: str | None = None,
     house: str | None = None, price_min=None, price_max=None, english: bool = False,
@@ -38,12 +50,28 @@ def search_lots(
     """Titles are matched before they meet lots, so each is cut into words once and only hits are joined.
     ``english`` leaves stop words out and compares stems."""
     titles = match(m.titles, _words(F.coalesce("title", F.lit("")), english), _terms(query, english))
-    lots = where(m.plain_lots, at_least("final_price", price_min), at_most("final_price", price_max))
-    found = where(
-        enrich(m, lots.join(titles, "part_id")), like("artist_name", artist), like("category_name", category), like("house_name", house)
-    )
+    found = _lots_of(m, titles, artist, category, house, price_min, price_max)
     ordered = found.orderBy(F.desc("rank"), F.col("final_price").desc_nulls_last(), "id")
-    return as_double(page(ordered, limit, offset).select("id", "title", "final_price", "artist_name", "category_name", "house_name", "rank"))
+    return as_double(page(ordered, limit, offset).select(*SHOWN))
+
+
+def title_documents(m: Market) -> DataFrame:
+    """What an index of lot titles is built from: equal titles of many lots are one document."""
+    return m.titles.select(F.col("part_id").alias("doc_id"), F.col("title").alias("text"))
+
+
+def search_lots_stored(
+    m: Market, index: TextIndex, query: str, limit: int = 50, offset: int = 0, artist: str | None = None, category: str | None = None,
+    house: str | None = None, price_min=None, price_max=None,
+) -> DataFrame:
+    """``search_lots`` on a stored index of ``title_documents``: no title is read but those of candidates."""
+
+    def accept(found: DataFrame) -> DataFrame:
+        titles = m.titles.join(found.withColumnRenamed("doc_id", "part_id"), "part_id")
+        return _lots_of(m, titles, artist, category, house, price_min, price_max)
+
+    found = index.search(query, limit, offset, accept, [F.col("final_price").desc_nulls_last(), F.col("id")])
+    return as_double(found.page.select(*SHOWN))
 
 
 def search_artists(m: Market, query: str, limit: int = 20, offset: int = 0, english: bool = False) -> DataFrame:
