@@ -17,6 +17,7 @@ from .operators import listings as L
 from .operators import quality as Q
 from .operators import reports as R
 from .operators import search as S
+from .operators.file_table import FileTable
 from .operators.text_index import TextIndex
 from .plans import oracle
 from .plans.market import NOW, Market, from_tables
@@ -181,6 +182,32 @@ def _indexed(docs: DataFrame) -> TextIndex:
     return index
 
 
+def _lot_files(m: Market) -> FileTable:
+    """The lots as a table of files, ordered by auction."""
+    return FileTable.create(m.plain_lots.drop("part_id"), new_folder(m.spark, "lots"), ["auction_id", "id"])
+
+
+def _lot_update_files(m: Market) -> DataFrame:
+    table = _lot_files(m)
+    table.update(F.col("auction_id") == AUCTION, {"sold": True, "final_price": 1234.5})
+    return _changed(table.read(), "id", "auction_id", "sold", "final_price")
+
+
+def _lot_delete_files(m: Market) -> DataFrame:
+    table = _lot_files(m)
+    table.delete(F.col("auction_id").between(AUCTION, AUCTION + 5) & ~F.col("sold"))
+    return _changed(table.read(), "id", "auction_id", "sold", "final_price")
+
+
+def _lot_upsert_files(m: Market) -> DataFrame:
+    """Lots of two auctions, one of them new, under the id as key."""
+    table = _lot_files(m)
+    own = m.plain_lots.filter(F.col("auction_id") == AUCTION)
+    new = own.unionByName(own.withColumns({"id": F.concat(F.lit("new-"), "id"), "auction_id": F.lit(-AUCTION).cast("long")}))
+    table.upsert(new.select("id", "auction_id", "lot_number", F.lit("revised").alias("medium")), ["id"], ["auction_id", "lot_number", "medium"], [F.col("lot_number")])
+    return _changed(table.read(), "id", "auction_id", "lot_number", "medium", "final_price")
+
+
 def market_queries() -> dict[str, Callable[[Market], DataFrame]]:
     found: dict[str, Callable[[Market], DataFrame]] = {
         "summary_stats": A.summary,
@@ -286,6 +313,9 @@ def market_queries() -> dict[str, Callable[[Market], DataFrame]]:
             m.houses, (F.col("id") == HOUSE) & (F.col("status") == "active"), {"status": "inactive"}
         ).select("id", "name", "status"),
         "lot_delete": lambda m: C.delete_state(m.plain_lots, F.col("id") == first_lot(m)).agg(F.count(F.lit(1)).alias("left_over")),
+        "lot_update_files": _lot_update_files,
+        "lot_delete_files": _lot_delete_files,
+        "lot_upsert_files": _lot_upsert_files,
         "auction_delete_cascade": _cascade,
         "upsert_houses": _upsert_houses,
         "ingest_new_auctions": _new_auctions,
