@@ -18,6 +18,7 @@ from .operators import quality as Q
 from .operators import reports as R
 from .operators import search as S
 from .operators.file_table import FileTable
+from .operators.similar import similar_lots_all
 from .operators.text_index import TextIndex
 from .plans import oracle
 from .plans.market import NOW, Market, from_tables
@@ -232,6 +233,7 @@ def market_queries() -> dict[str, Callable[[Market], DataFrame]]:
         "recent_lots": L.recent_lots,
         "high_value_lots": L.high_value_lots,
         "similar_lots": lambda m: L.similar_lots(m, first_lot(m)),
+        "similar_lots_all": similar_lots_all,
         "auctions_list": lambda m: L.auctions(m, 50, 50),
         "auctions_filtered": lambda m: L.auctions(
             m, status="completed", auction_type="live", country="a", start_from="1998-01-01", start_to="1999-12-31"
