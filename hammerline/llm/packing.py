@@ -58,6 +58,24 @@ def encoder(path: str):
     )
 
 
+@lru_cache(maxsize=2)
+def plain_form(path: str):
+    """The tokenizers form of the vocabulary at ``path``, which lies beside it."""
+    from tokenizers import Tokenizer
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return Tokenizer.from_file(f"{os.path.splitext(path)[0]}.json")
+
+
+def token_ids(path: str, text: str) -> list[int]:
+    """The ids of a text.  The faster form's pattern gives up on runs of about a million blanks; such a text
+    goes to the tokenizers form, whose ids are the same."""
+    try:
+        return encoder(path).encode(text, allowed_special="all")
+    except ValueError:
+        return plain_form(path).encode(text, add_special_tokens=False).ids
+
+
 def cut(length: int, limit: int) -> list[tuple[int, int]]:
     """(start, length) of the pieces: only the first may be shorter than ``limit``."""
     if length <= limit:
@@ -73,11 +91,10 @@ def tokenize(
     path = vocabulary or default_vocabulary()
 
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bpe = encoder(path)
         for batch in batches:
             out = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                ids = bpe.encode(text or "", allowed_special="all")
+                ids = token_ids(path, text or "")
                 ids.append(end_id)
                 packed = np.array(ids, dtype="<u4")
                 for number, (start, length) in enumerate(cut(len(ids), limit)):

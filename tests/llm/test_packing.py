@@ -87,3 +87,15 @@ def test_added_tokens_are_one_id(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     for r in P.tokenize(docs, keep_ids=True).collect():
         assert r["ids"] == [*hf.encode(texts[r["doc_id"]], add_special_tokens=False).ids, 2]
+
+
+def test_long_runs_of_blanks(spark):
+    """Beyond what the pattern of the faster form can match."""
+    form = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = [" " * 2_000_000 + "x", "a" + "\t" * 2_000_000, "\n" * 1_200_000 + "<|endoftext|>"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found: dict[int, list[int]] = {}
+    for row in P.tokenize(docs, keep_ids=True).orderBy("doc_id", "piece").collect():
+        found.setdefault(row["doc_id"], []).extend(row["ids"])
+    for number, text in enumerate(texts):
+        assert found[number] == form.encode(text, add_special_tokens=False).ids + [P.END_ID]
