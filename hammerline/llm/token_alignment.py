@@ -25,7 +25,6 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -40,7 +39,7 @@ CODED = "block long, doc_id long, n int, codes binary, segments array<string>"
 ALIGNED = "block long, code int, groups string"
 COMPOSED = (
     "block long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, groups string, "
-    "pairs binary, pair array<struct<idx: int, a: int, b: int, n_docs: long>>"
+    "n_pairs int, pairs binary, times binary, idx int, a int, b int, pair_docs long"
 )
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 BLANKS = " \t\n\r\x0b\x0c"
@@ -164,21 +163,24 @@ def sizes(path_a: str, path_b: str) -> tuple[list[int], list[int]]:
     return [len(e) for e in byte_level(path_a)[1]], [len(e) for e in pieces(path_b)[1]]
 
 
-def pack_numbers(numbers: np.ndarray) -> bytes:
-    """Non-negative 32-bit numbers, compressed by their bytes of equal weight."""
+@lru_cache(maxsize=1)
+def _squeezers():
     import zstandard
 
-    planes = np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T)
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
 
-def unpack_numbers(data: bytes, n: int) -> np.ndarray:
-    import zstandard
+def pack_numbers(numbers: np.ndarray, width: int = 4) -> bytes:
+    """Non-negative numbers of ``width`` bytes, compressed with their bytes of equal weight together."""
+    planes = np.ascontiguousarray(numbers.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T)
+    return _squeezers()[0].compress(planes.tobytes())
+
 
+def unpack_numbers(data: bytes, n: int, width: int = 4) -> np.ndarray:
     if not n:
-        return np.zeros(0, "<u4")
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data, max_output_size=4 * n), np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").ravel()
+        return np.zeros(0, f"<u{width}")
+    planes = np.frombuffer(_squeezers()[1].decompress(data, max_output_size=width * n), np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, n).T).view(f"<u{width}").ravel()
 
 
 def code_documents(docs: DataFrame, safe: str, block_chars: int) -> DataFrame:
@@ -218,11 +220,11 @@ def code_documents(docs: DataFrame, safe: str, block_chars: int) -> DataFrame:
 CODED_ARROW = pa.schema(
     [("block", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int32()), ("codes", pa.binary()), ("segments", pa.list_(pa.string()))]
 )
-PAIR_ARROW = pa.list_(pa.struct([("idx", pa.int32()), ("a", pa.int32()), ("b", pa.int32()), ("n_docs", pa.int64())]))
 COMPOSED_ARROW = pa.schema(
     [("block", pa.int64()), ("doc_id", pa.int64())]
     + [(n, pa.int64()) for n in ("n_a", "n_b", "n_groups", "n_links")]
-    + [("groups_sha256", pa.string()), ("groups", pa.string()), ("pairs", pa.binary()), ("pair", PAIR_ARROW)]
+    + [("groups_sha256", pa.string()), ("groups", pa.string()), ("n_pairs", pa.int32()), ("pairs", pa.binary()), ("times", pa.binary())]
+    + [("idx", pa.int32()), ("a", pa.int32()), ("b", pa.int32()), ("pair_docs", pa.int64())]
 )
 RESULT_ARROW = pa.schema(
     [(n, pa.int64()) for n in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")] + [("groups_sha256", pa.string())]
@@ -255,6 +257,51 @@ def align_runs(segments: DataFrame, path_a: str, path_b: str) -> DataFrame:
     return sorted_runs.select("block", "code", "segment").mapInArrow(aligned, ALIGNED)
 
 
+def token_table(groups: list[str]) -> tuple[np.ndarray, ...]:
+    """The ids of all ``groups`` strings in order, whether each is one of B, its group's number; and for each
+    group the number of its string."""
+    buffer = np.frombuffer((";".join(groups) + ";").encode(), np.uint8)
+    stops = np.flatnonzero((buffer < 48) | (buffer > 57))
+    starts = np.concatenate([[0], stops[:-1] + 1])
+    width = stops - starts
+    value = np.zeros(len(stops), np.int64)
+    for k in range(int(width.max())):
+        has = np.flatnonzero(width > k)
+        value[has] = value[has] * 10 + buffer[starts[has] + k] - 48
+    ends_group, ends_a = buffer[stops] == ord(";"), buffer[stops] == ord("|")
+    group = np.cumsum(ends_group) - ends_group
+    of_b = np.cumsum(ends_a) - ends_a > group
+    string_ends = np.cumsum([len(g) + 1 for g in groups]) - 1
+    return value, of_b, group, np.searchsorted(string_ends, stops[ends_group])
+
+
+def linked_ids(value: np.ndarray, of_b: np.ndarray, group: np.ndarray, most: int = 1 << 12) -> tuple[np.ndarray, ...]:
+    """(group, a, b, times): the links of each group.  Those of small groups are listed one by one, larger
+    groups by their distinct ids and how often they come."""
+    n_a, n_b = np.bincount(group[~of_b]), np.bincount(group[of_b])
+    ids_a, ids_b = value[~of_b], value[of_b]
+    first_a, first_b = np.cumsum(n_a) - n_a, np.cumsum(n_b) - n_b
+    links = n_a * n_b
+    small = np.flatnonzero(links <= most)
+    of = np.repeat(small, links[small])
+    within = np.arange(len(of)) - np.repeat(np.cumsum(links[small]) - links[small], links[small])
+    found = [(of, ids_a[first_a[of] + within // n_b[of]], ids_b[first_b[of] + within % n_b[of]], np.ones(len(of), np.int64))]
+    for g in np.flatnonzero(links > most):
+        a, k = np.unique(ids_a[first_a[g] : first_a[g] + n_a[g]], return_counts=True)
+        b, m = np.unique(ids_b[first_b[g] : first_b[g] + n_b[g]], return_counts=True)
+        times = np.outer(k, m).ravel()
+        found.append((np.full(len(times), g), np.repeat(a, len(b)), np.tile(b, len(a)), times))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def summed(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and the sums of their values."""
+    order = np.argsort(keys, kind="stable")
+    keys, values = keys[order], values[order]
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[starts], np.add.reduceat(values, starts) if len(keys) else values
+
+
 class Dictionary:
     """A block's segments by number: their groups, counts, and links as pair numbers with multiplicities."""
 
@@ -263,41 +310,36 @@ class Dictionary:
         self.groups: list[str | None] = [None] * n
         self.counts = np.zeros((4, n), np.int64)
         self.bad = np.zeros(n, bool)
-        self.first, self.many = np.zeros(n, np.int64), np.zeros(n, np.int64)
-        self.numbers: dict[tuple[int, int], int] = {}
-        pair: list[int] = []
-        times: list[int] = []
+        self.many = np.zeros(n, np.int64)
+        self.a = self.b = self.pair = self.times = np.zeros(0, np.int64)
         for code, own in zip(codes.tolist(), groups):
             self.groups[code] = own
-            self.first[code] = len(pair)
-            if own is None:
-                self.bad[code] = True
-                continue
-            parts = [[side.split(",") for side in g.split("|")] for g in own.split(";")]
-            n_a, n_b = sum(len(a) for a, _ in parts), sum(len(b) for _, b in parts)
-            self.counts[:, code] = n_a, n_b, len(parts), sum(len(a) * len(b) for a, b in parts)
-            links: Counter[tuple[int, int]] = Counter()
-            for a, b in parts:
-                if len(a) == len(b) == 1:
-                    links[int(a[0]), int(b[0])] += 1
-                    continue
-                for x, k in Counter(a).items():
-                    for y, m in Counter(b).items():
-                        links[int(x), int(y)] += k * m
-            pair += [self.numbers.setdefault(p, len(self.numbers)) for p in links]
-            times += links.values()
-            self.many[code] = len(links)
-        self.pair, self.times = np.array(pair, np.int64), np.array(times, np.int64)
+        self.bad[[c for c, own in enumerate(self.groups) if own is None]] = True
+        good = np.flatnonzero(~self.bad)
+        found = []
+        for at in range(0, len(good), 1 << 15):  # so that what is needed on the way stays small
+            value, of_b, group, string = token_table([self.groups[c] for c in good[at : at + (1 << 15)]])
+            code = good[at + string]
+            n_a, n_b = np.bincount(group[~of_b]), np.bincount(group[of_b])
+            for row, per_group in zip(self.counts, (n_a, n_b, np.ones_like(n_a), n_a * n_b)):
+                np.add.at(row, code, per_group)
+            of, a, b, times = linked_ids(value, of_b, group)
+            found.append((code[of].astype(np.int32), a << 32 | b, times))
+        if found:
+            pairs, number = np.unique(np.concatenate([x[1] for x in found]), return_inverse=True)
+            self.a, self.b = pairs >> 32, pairs & 0xFFFFFFFF
+            keys = np.concatenate([x[0] for x in found]).astype(np.int64) * len(pairs) + number
+            keys, self.times = summed(keys, np.concatenate([x[2] for x in found]))
+            self.pair = keys % len(pairs)
+            self.many = np.bincount(keys // len(pairs), minlength=n)
+        self.first = np.cumsum(self.many) - self.many
 
     def links(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The distinct pair numbers of a document and how often each is linked."""
         code, often = np.unique(codes, return_counts=True)
         many = self.many[code]
         at = np.repeat(self.first[code] - np.cumsum(many) + many, many) + np.arange(many.sum())
-        found, place = np.unique(self.pair[at], return_inverse=True)
-        total = np.zeros(len(found), np.int64)
-        np.add.at(total, place, self.times[at] * np.repeat(often, many))
-        return found, total
+        return summed(self.pair[at], self.times[at] * np.repeat(often, many))
 
 
 def compose(docs: DataFrame, aligned: DataFrame, keep_groups: bool) -> DataFrame:
@@ -305,43 +347,30 @@ def compose(docs: DataFrame, aligned: DataFrame, keep_groups: bool) -> DataFrame
 
     def composed(docs: pa.Table, aligned: pa.Table) -> pa.Table:
         known = Dictionary(aligned["code"].to_numpy(), aligned["groups"].to_pylist())
-        holders = np.zeros(len(known.numbers), np.int64)
+        holders = np.zeros(len(known.a), np.int64)
         block = docs["block"][0].as_py() if docs.num_rows else aligned["block"][0].as_py()
         rows = []
-        for doc_id, n, data in zip(docs["doc_id"].to_pylist(), docs["n"].to_pylist(), docs["codes"]):
-            codes = unpack_numbers(data.as_py(), n) if n else np.zeros(0, np.int64)
+        for doc_id, n, data in zip(docs["doc_id"].to_pylist(), docs["n"].to_pylist(), docs["codes"].to_pylist()):
+            codes = unpack_numbers(data, n)
             if not n or known.bad[codes].any():
-                rows.append((block, doc_id, 0, 0, 0, 0, "", "", None, None))
+                rows.append((block, doc_id, 0, 0, 0, 0, "", "", 0, None, None, *[None] * 4))
                 continue
             groups = ";".join(map(known.groups.__getitem__, codes.tolist()))
             found, often = known.links(codes)
             holders[found] += 1
-            packed = pack_long(found) + pack_long(often)
             sums = known.counts[:, codes].sum(1).tolist()
             digest = hashlib.sha256(groups.encode()).hexdigest()
-            rows.append((block, doc_id, *sums, digest, groups if keep_groups else None, packed, None))
-        pairs = [{"idx": i, "a": a, "b": b, "n_docs": int(holders[i])} for (a, b), i in known.numbers.items() if holders[i]]
-        for at in range(0, len(pairs), CHUNK):
-            rows.append((block, *[None] * 8, pairs[at : at + CHUNK]))
-        return pa.Table.from_batches([record_batch(rows, COMPOSED_ARROW)])
+            packed = len(found), pack_numbers(found), pack_numbers(often, 8)
+            rows.append((block, doc_id, *sums, digest, groups if keep_groups else None, *packed, *[None] * 4))
+        idx = np.flatnonzero(holders)
+        own = {"block": np.full(len(idx), block), "idx": idx, "a": known.a[idx], "b": known.b[idx], "pair_docs": holders[idx]}
+        columns = [pa.array(own[f.name]).cast(f.type) if f.name in own else pa.nulls(len(idx), f.type) for f in COMPOSED_ARROW]
+        pairs = pa.RecordBatch.from_arrays(columns, schema=COMPOSED_ARROW)
+        return pa.Table.from_batches([record_batch(rows, COMPOSED_ARROW), pairs])
 
     return docs.groupBy("block").cogroup(aligned.groupBy("block")).applyInArrow(composed, COMPOSED)
 
 
-def pack_long(numbers: np.ndarray) -> bytes:
-    """Sorted or small 64-bit numbers: their length, and two compressed halves."""
-    low, high = pack_numbers(numbers & 0xFFFFFFFF), pack_numbers(numbers >> 32)
-    return np.array([len(numbers), len(low), len(high)], "<u4").tobytes() + low + high
-
-
-def unpack_long(data: bytes) -> tuple[np.ndarray, bytes]:
-    """The numbers, and the bytes behind them."""
-    n, low, high = np.frombuffer(data, "<u4", 3).tolist()
-    ends = 12, 12 + low, 12 + low + high
-    halves = [unpack_numbers(data[ends[i] : ends[i + 1]], n).astype(np.int64) for i in (0, 1)]
-    return halves[0] | halves[1] << 32, data[ends[2] :]
-
-
 def score(docs: DataFrame, values: DataFrame) -> DataFrame:
     """Documents with n_best and count_sum, by the corpus-wide ``values`` of the block's pairs (holder, idx, n, best)."""
 
@@ -351,18 +380,15 @@ def score(docs: DataFrame, values: DataFrame) -> DataFrame:
         best = np.zeros(len(n), bool)
         n[idx], best[idx] = values["n"].to_numpy(), values["best"].to_numpy(zero_copy_only=False)
         n_best, count_sum = [], []
-        for data in docs["pairs"].to_pylist():
-            found = often = np.zeros(0, np.int64)
-            if data is not None:
-                found, rest = unpack_long(data)
-                often, _ = unpack_long(rest)
+        for many, found, often in zip(*[docs[c].to_pylist() for c in ("n_pairs", "pairs", "times")]):
+            found, often = unpack_numbers(found, many), unpack_numbers(often, many, 8).astype(np.int64)
             n_best.append(int(often[best[found]].sum()))
             count_sum.append(int((often * n[found]).sum()))
         out = docs.select([f.name for f in RESULT_ARROW if f.name in docs.column_names])
         out = out.append_column("n_best", pa.array(n_best, pa.int64())).append_column("count_sum", pa.array(count_sum, pa.int64()))
         return out.select(RESULT_ARROW.names)
 
-    small = docs.select("block", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs")
+    small = docs.select("block", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "n_pairs", "pairs", "times")
     return small.groupBy("block").cogroup(values.groupBy("holder")).applyInArrow(scored, RESULT)
 
 
@@ -377,10 +403,10 @@ class Alignment:
         segments = segments.select("block", (F.col("n") + F.col("place")).alias("code"), "segment")
         texts = coded.filter("codes IS NOT NULL").select("block", "doc_id", "n", "codes")
         composed = stage(compose(texts, align_runs(segments, path_a, path_b), keep_groups), "composed")
-        self._rows = composed.filter("pair IS NULL")
-        self._pair = composed.filter("pair IS NOT NULL").select(F.col("block").alias("holder"), F.inline("pair"))
-        self.documents = self._rows.drop("block", "pairs", "pair")
-        totals = self._pair.groupBy("a", "b").agg(F.sum("n_docs").alias("n"))
+        self._rows = composed.filter("idx IS NULL")
+        self._pair = composed.filter("idx IS NOT NULL").select(F.col("block").alias("holder"), "idx", "a", "b", "pair_docs")
+        self.documents = self._rows.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "groups")
+        totals = self._pair.groupBy("a", "b").agg(F.sum("pair_docs").alias("n"))
         top = F.max("n").over(Window.partitionBy("a"))  # at most as many rows for an id as the other vocabulary has
         self.pairs = totals.withColumn("best", F.col("n") == top)
 

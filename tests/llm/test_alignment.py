@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -124,9 +125,21 @@ def test_safe_breaks():
 
 @pytest.mark.parametrize("n", [0, 1, 5, 70_000])
 def test_numbers_round_trip(n):
-    import numpy as np
-
     numbers = np.arange(n, dtype=np.int64) * 3_000_001
-    found, rest = token_alignment.unpack_long(token_alignment.pack_long(numbers) + b"more")
-    assert (found == numbers).all() and rest == b"more"
+    assert (token_alignment.unpack_numbers(token_alignment.pack_numbers(numbers, 8), n, 8) == numbers).all()
+    assert (token_alignment.unpack_numbers(token_alignment.pack_numbers(numbers % 2**32), n) == numbers % 2**32).all()
     assert "op11_token_alignment" in registry.queries()
+
+
+def test_links_of_large_groups():
+    """Listed one by one or by distinct ids: the same links."""
+    table = token_alignment.token_table(["1,2,1|3,3;4|5", "7|8,9", "1,1,1|3,6"])
+    assert table[3].tolist() == [0, 0, 1, 2]
+    found = []
+    for most in (0, 100):
+        of, a, b, times = token_alignment.linked_ids(*table[:3], most=most)
+        total = Counter()
+        for key, n in zip(zip(of.tolist(), a.tolist(), b.tolist()), times.tolist()):
+            total[key] += n
+        found.append(total)
+    assert found[0] == found[1] and found[0][0, 1, 3] == 4 and found[0][3, 1, 6] == 3
