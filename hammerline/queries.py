@@ -18,6 +18,7 @@ from .operators import quality as Q
 from .operators import reports as R
 from .operators import search as S
 from .operators.file_table import FileTable
+from .operators.rollup_state import DistinctRollup, RollupState
 from .operators.similar import similar_lots_all
 from .operators.text_index import TextIndex
 from .plans import oracle
@@ -209,6 +210,31 @@ def _lot_upsert_files(m: Market) -> DataFrame:
     return _changed(table.read(), "id", "auction_id", "lot_number", "medium", "final_price")
 
 
+def _rollup_deltas(m: Market) -> DataFrame:
+    """Lots up to 1997, then three batches: those of two years, the later ones, and all unsold ones of one medium out again."""
+    lots = m.plain_lots.drop("part_id", "id")
+    year = F.year("created_at")
+    unsold = (F.col("medium") == "F") & ~F.col("sold")
+    middle, late = year.isin(1998, 1999), year >= 2000
+    state = RollupState.create(lots.filter(year < 1998), new_folder(m.spark, "rollup"))
+    signed = lambda which, sign: lots.filter(which).withColumn("sign", F.lit(sign))
+    state.apply(signed(middle, 1), lots.filter(year < 2000))
+    state.apply(signed(late, 1), lots)
+    state.apply(signed(unsold, -1).unionByName(signed(F.lit(False), 1)), lots.filter(~unsold))
+    return state.rollup().filter("total_lots > 0")
+
+
+def _distinct_rollup(m: Market) -> DataFrame:
+    """Distinct artists and auctions by month and house, and by year over all houses, from one table of bitmaps."""
+    held = m.plain_lots.join(m.auctions.select(F.col("id").alias("auction_id"), "house_id", F.to_date("start_date").alias("day")), "auction_id")
+    values = ["artist_id", "auction_id"]
+    stored = DistinctRollup.create(held.select("day", "house_id", *values), new_folder(m.spark, "bitmaps"), ["day", "house_id"], values)
+    month = stored.counts([F.trunc("day", "month").alias("period"), F.col("house_id")], values)
+    year = stored.counts([F.trunc("day", "year").alias("period")], values).withColumn("house_id", F.lit(None).cast("long"))
+    both = month.withColumn("grain", F.lit("month")).unionByName(year.withColumn("grain", F.lit("year")))
+    return both.select("grain", "period", "house_id", F.col("artist_id").alias("artists"), F.col("auction_id").alias("auctions"))
+
+
 def market_queries() -> dict[str, Callable[[Market], DataFrame]]:
     found: dict[str, Callable[[Market], DataFrame]] = {
         "summary_stats": A.summary,
@@ -278,6 +304,8 @@ def market_queries() -> dict[str, Callable[[Market], DataFrame]]:
         "artists_search_stemmed": lambda m: S.search_artists(m, "suppliers of nations 7", english=True),
         "artists_search": lambda m: S.search_artists(m, "supplier#000000007 nation_3"),
         "auction_rollup_refresh": C.auction_rollup,
+        "auction_rollup_deltas": _rollup_deltas,
+        "distinct_rollup": _distinct_rollup,
         "ingest_log_summary": lambda m: C.run_log(m.changes),
         "run_log_rows": lambda m: C.run_log_rows(_runs(m)),
         "house_strategies": _strategies,
