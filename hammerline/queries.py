@@ -28,6 +28,8 @@ from .sources import seeds
 from .sources.tables import read_table, to_json_rows
 from .sources.versions import new_folder
 from .streaming import ingest as I
+from .streaming.ledger import Ledger, ProgressTable
+from .streaming.status import status_history
 
 Query = Callable[[SparkSession, str], DataFrame]
 ARTIST, AUCTION, HOUSE = 5, 7, 3
@@ -235,6 +237,41 @@ def _distinct_rollup(m: Market) -> DataFrame:
     return both.select("grain", "period", "house_id", F.col("artist_id").alias("artists"), F.col("auction_id").alias("auctions"))
 
 
+def _status_history(m: Market) -> DataFrame:
+    """Auctions announced a month ahead, the ones that are active taken back, as published by a day in July."""
+    at = F.col("start_date").cast("timestamp")
+    schedules = m.auctions.select(
+        F.col("id").alias("auction_id"), (at - F.expr("INTERVAL 30 DAYS")).alias("ts"), at.alias("start_date"),
+        F.col("end_date").cast("timestamp").alias("end_date"), (F.col("status") == "active").alias("cancelled"),
+    )
+    found = status_history(schedules, F.lit("2001-07-02 00:00:00").cast("timestamp"))
+    return found.select("auction_id", "status", F.col("at").cast("timestamp_ntz").alias("at"))
+
+
+def _ingest_ledger(s: SparkSession, d: str) -> DataFrame:
+    """The events as a stream into a ledgered sink, read in one run and then once more from the start; what the ledger,
+    the table and the streams' progress say of it."""
+    folder = new_folder(s, "ledger")
+    progress = ProgressTable(f"{folder}/progress")
+    sink = Ledger(folder, "events", "event_id long, user_id long, event_type string, value double", ["event_id"], valid=F.col("event_type") != "error")
+    s.streams.addListener(progress)
+    try:
+        for run in ("first", "second"):  # without the first run's checkpoint the same batches come again; a pattern, as a stream reads folders
+            query = sink.ingest(I.read_events(s, f"{d}/event[s].parquet").drop("ts", "props"), f"{folder}/checkpoint-{run}")
+            query.awaitTermination()
+            progress.wait(query)
+    finally:
+        s.streams.removeListener(progress)
+    progress.flush(s)
+    read = s.read.parquet(progress.path).agg(F.sum("rows_read").alias("rows_read"), F.count("error").alias("errors"))
+    lines = sink.lines(s).agg(F.sum("items_processed").alias("processed"), F.sum("items_created").alias("created"), F.sum("items_failed").alias("failed"))
+    stored = sink.rows(s).agg(F.count(F.lit(1)).alias("rows_stored"), F.countDistinct("event_id").alias("ids_stored"))
+    waiting = sink.retries(s).agg(F.count(F.lit(1)).alias("to_retry"), F.max("attempt").alias("attempt"))
+    made = [(df.first().asDict()) for df in (read, lines, stored, waiting)]  # one row each
+    whole = {k: v for row in made for k, v in row.items()}
+    return s.createDataFrame([tuple(whole.values())], ", ".join(f"{k} long" for k in whole))
+
+
 def market_queries() -> dict[str, Callable[[Market], DataFrame]]:
     found: dict[str, Callable[[Market], DataFrame]] = {
         "summary_stats": A.summary,
@@ -268,6 +305,7 @@ def market_queries() -> dict[str, Callable[[Market], DataFrame]]:
         "auctions_by_statuses": lambda m: L.auctions(m, status=["active", "upcoming"]),
         "auctions_count": lambda m: L.auctions_count(m, status="upcoming"),
         "auctions_page": lambda m: L.auctions_page(m, 50, 100, status="upcoming"),
+        "auction_status_history": _status_history,
         "auction_by_id": lambda m: L.auction(m, AUCTION),
         "auction_by_slug": _slug,
         "auction_lots": lambda m: L.auction_lots(m, AUCTION),
@@ -395,6 +433,7 @@ def queries() -> dict[str, Query]:
         "extract_artist": lambda s, d: _part_text(s, d).select("id", P.extract_artist(F.col("artist")).alias("artist")),
         "extract_lot_details": lambda s, d: _part_text(s, d).withColumn("x", P.lot_details(F.col("details"))).select("id", "x.*"),
         "extract_images": lambda s, d: _part_text(s, d).select("id", F.explode(H.images(F.col("html"), "https://h")).alias("image")),
+        "ingest_ledger": _ingest_ledger,
         "event_windows": _windows,
         "event_sessions": _sessions,
     }
