@@ -7,12 +7,15 @@ dominate and smoothed over neighbouring lines by a Gaussian, is split into two c
 by their means.  Every line of the upper cluster speaks for the containers it lies in with
 its length, every line of the lower one against them, and the container with the highest sum
 is the content region; it is widened to a parent as long as that keeps half of the sum and adds no line of links
-outside an article or main element.  Markup is a weak feature on the way (a line in a
+outside an article or main element.  Where the page has article or main elements with text outside that region, they
+are the region, unless they hold little beside it.  Markup is a weak feature on the way (a line in a
 menu, footer, advert and the like counts for a tenth) and decides only inside the region,
-where such lines are left out; every other line of the region is kept, however short.
+where such lines are left out; every other line of the region is kept, however short.  A name in
+class, id or role counts if it is nothing but such words (site-footer, not alert-story).  Reader comments without
+such a name are known by a heading or by their form, see ``remarks``.
 
-Defined cases: null and empty html give an empty text; a page whose end is cut off or whose
-elements are not closed is read as far as it goes; a page without markup is one line; of
+Defined cases: null and empty html give an empty text; a page whose elements are not closed is read as far as
+it goes, one whose last tag or comment never ends up to there, as in a browser; a page without markup is one line; of
 containers with equal sums the first opened, that is the outer one, is taken; very long and
 deeply nested pages take time in proportion to their events; repeated rows and other columns
 pass through, a column named text is replaced.
@@ -50,7 +53,15 @@ NOISE = frozenset(
     "search skip".split()
 )
 #: Of those, the ones that count even on an article element.
-FOREIGN = frozenset("ad ads advert advertisement sponsored promo comment comments reply related recommended".split())
+FOREIGN = frozenset("ad ads advert advertisement sponsored promo comment comments reply related recommended discussion responses reactions".split())
+#: What may stand beside such a word in one name (site-footer, comment-list) without making it another thing (alert-story).
+PLAIN = frozenset(
+    "site page main global top bottom left right upper lower header footer primary secondary list box block container wrapper "
+    "wrap outer inner section area bar bars panel row col links link items item posts articles form content js the my is has".split()
+)
+#: Headings of reader comments, in the languages of the pages.
+REMARKS = re.compile(r"(?i)^\W*(\d+\W+)?(reader )?(comments?|discussion|responses|replies|kommentare|diskussion|commentaires|réactions|comentarios)\b.{0,20}$")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup legend dt figcaption summary".split())
 #: Blocks that a new one of the first kind closes where they are innermost.
 CLOSED_BY = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th")}
 WRAPPERS = frozenset("div section body html td".split())
@@ -59,22 +70,63 @@ SHORT = 40  # characters that a line of the lower cluster counts for at least
 LINKED = 0.5  # share of link text from which a line is one of links
 BACKING = 0.5  # least share of the region's votes that a wider one must keep
 REFERENCES = 0.25  # most link lines, as a share of the region, that an article or main element may add
-NAME = re.compile(r"[a-z]+|[A-Z][a-z]*")
+NAME = re.compile(r"[a-z]+|[A-Z][a-z]*|[0-9]+")
+LEAD = 40  # characters of a line that may name the author of a remark
+TAG = re.compile(r"""<[a-zA-Z/!?](?:=\s*+(?:"[^"]*+"|'[^']*+')|[^>])*+>""")
+RAW = re.compile(r"<(script|style|textarea|title|iframe|noscript)\b", re.I)
 
 
 class Block:
     """An open block element, with the inline elements open in it."""
 
-    __slots__ = ("tag", "node", "marked", "foreign", "inline", "counts")
+    __slots__ = ("tag", "node", "marked", "foreign", "inline", "counts", "hidden")
 
     def __init__(self, tag: str, node: int, marked: bool, foreign: bool):
         self.tag, self.node, self.marked, self.foreign = tag, node, marked, foreign
         self.inline: list[tuple[str, bool]] = []  # tag, marked
         self.counts: Counter = Counter()
+        self.hidden = 0  # marked inline elements open in it
+
+
+def side_name(value: str, words: frozenset) -> bool:
+    """Whether a name of class, id or role is one of ``words``, or made of them and plain words."""
+    for name in value.split():
+        parts = [x.lower() for x in NAME.findall(name)]
+        if any(x in words for x in parts) and all(x in words or x in NOISE or x in PLAIN or x.isdigit() for x in parts) and parts[0] not in ("has", "is"):
+            return True
+    return False
+
+
+def finished(html: str) -> str:
+    """The page up to the first tag or comment that never ends, which browsers drop with all behind it.
+
+    Each place is looked at once, so what the parser is given has no open end to look for again and again."""
+    at = 0
+    while (at := html.find("<", at)) >= 0:
+        following = html[at + 1 : at + 2]
+        if html.startswith("<!--", at):
+            end = at + 5 if html.startswith(("<!-->", "<!--->"), at) else html.find("-->", at + 4) + 3
+            if end < at + 5:
+                return html[:at]
+            at = end
+        elif following.isascii() and (following.isalpha() or following in ("/", "!", "?")):
+            found = TAG.match(html, at)
+            if not found:
+                return html[:at]
+            raw = RAW.match(html, at)
+            at = found.end()
+            if raw and html[at - 2] != "/":
+                close = re.compile(rf"</{raw[1]}\b", re.I).search(html, at)
+                if not close:
+                    return html[: found.start()]
+                at = close.start()
+        else:
+            at += 1
+    return html
 
 
 class Lines(HTMLParser):
-    """Collects (text, tags, link characters, node, marked) for each line.
+    """Collects (text, tags, link characters, node, marked, element) for each line.
 
     Nodes are the containers by number in the order they open, the page being 0, with the
     number of their parent and the number at which they end.  All work on an event is
@@ -82,7 +134,7 @@ class Lines(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, int, bool]] = []
+        self.lines: list[tuple[str, int, int, int, bool, str]] = []
         self.kinds, self.parents, self.ends = [""], [0], [0]
         self.open = [Block("", 0, False, False)]
         self.names: Counter = Counter()  # of open blocks
@@ -95,7 +147,7 @@ class Lines(HTMLParser):
         words = "".join(self.text).split()
         if words:
             line = " ".join(words)
-            self.lines.append((line, self.tags, min(self.link_chars, len(line)), self.open[-1].node, self.marks > 0))
+            self.lines.append((line, self.tags, min(self.link_chars, len(line)), self.open[-1].node, self.marks > 0, self.open[-1].tag))
             self.tags = 0
         self.text, self.link_chars = [], 0
 
@@ -104,6 +156,7 @@ class Lines(HTMLParser):
         tag, marked = block.inline.pop()
         block.counts[tag] -= 1
         self.marks -= marked
+        block.hidden -= marked
         self.linked -= tag == "a"
         return tag
 
@@ -126,15 +179,15 @@ class Lines(HTMLParser):
             return False, False
         if tag in DROPPED:
             return not (tag == "header" and self.names["article"]), False  # the heading of an article is part of it
-        names: set[str] = set()
+        values = []
         for key, value in attrs:
             if key == "hidden":
                 return True, False
             if key in ("class", "id", "role") and value:
-                names.update(x.lower() for x in NAME.findall(value))
-        if not names.isdisjoint(FOREIGN):
+                values.append(value)
+        if any(side_name(v, FOREIGN) for v in values):
             return True, True
-        return tag != "article" and not names.isdisjoint(NOISE), False
+        return tag != "article" and any(side_name(v, NOISE) for v in values), False
 
     def pardon(self) -> None:
         """A wrapper whose name sounds like a side element but that holds the article isn't one."""
@@ -153,8 +206,7 @@ class Lines(HTMLParser):
             if tag in VOID:
                 return
             marked = self.judge(tag, attrs)[0]
-            if marked and not self.marks:
-                self.flush()
+            self.open[-1].hidden += marked
             self.open[-1].inline.append((tag, marked))
             self.open[-1].counts[tag] += 1
             self.marks += marked
@@ -194,12 +246,12 @@ class Lines(HTMLParser):
                 while self.pop_block() != tag:
                     pass
         elif self.open[-1].counts[tag] > 0:  # a stray inline end does not close blocks
-            if self.marks:
-                self.flush()
             while self.pop_inline() != tag:
                 pass
 
     def handle_data(self, data: str) -> None:
+        if self.open[-1].hidden:
+            return self.text.append(" ")  # a button, say, inside a block: the block goes on behind it
         self.text.append(data)
         if self.linked > 0:
             self.link_chars += len(data)
@@ -219,18 +271,62 @@ def smooth(values: np.ndarray, sigma: float) -> np.ndarray:
     return np.convolve(padded, kernel / kernel.sum(), mode="valid")
 
 
-def dense(values: np.ndarray) -> np.ndarray:
-    """The upper one of two clusters."""
+def border(values: np.ndarray) -> float:
+    """The value from which the upper one of two clusters begins."""
     low, high = float(values.min()), float(values.max())
     if high - low < 1e-9:
-        return np.ones(len(values), dtype=bool)
+        return low
     for _ in range(20):
         upper = values >= (low + high) / 2
         means = float(values[~upper].mean()), float(values[upper].mean())
         if means == (low, high):
             break
         low, high = means
-    return values >= (low + high) / 2
+    return (low + high) / 2
+
+
+def dense(ratios: np.ndarray, sizes: np.ndarray, sigma: float) -> np.ndarray:
+    """The lines of the upper cluster; a long line is not drawn out of it by its neighbours."""
+    smoothed = smooth(ratios, sigma)
+    least = border(smoothed)
+    return (smoothed >= least) | ((ratios >= least) & (sizes >= 2 * SHORT))
+
+
+def remarks(page: Lines) -> set[int]:
+    """Containers of reader comments that no name gives away: one that begins with such a heading, or two or more
+    containers alike, each of a short line without an end mark (an author) and longer ones, behind at least as much text."""
+    sizes = np.cumsum([0] + [len(x[0]) for x in page.lines])
+    starts, ends = [len(page.lines)] * len(page.kinds), [-1] * len(page.kinds)
+    for i, x in enumerate(page.lines):
+        starts[x[3]], ends[x[3]] = min(starts[x[3]], i), i
+    for node in range(len(starts) - 1, 0, -1):  # children have higher numbers
+        parent = page.parents[node]
+        starts[parent], ends[parent] = min(starts[parent], starts[node]), max(ends[parent], ends[node])
+    found = set()
+    children: dict[int, list[int]] = {}
+    for node in range(1, len(starts)):
+        if ends[node] >= 0:
+            children.setdefault(page.parents[node], []).append(node)
+
+    def behind(node: int) -> bool:
+        before = sizes[starts[node]]
+        return before >= sizes[ends[node] + 1] - before
+
+    def authored(node: int) -> bool:
+        first, last = page.lines[starts[node]], page.lines[ends[node]]
+        name = first[0]
+        named = first[5] not in HEADINGS and len(name) <= LEAD and len(name.split()) <= 4 and name[-1] not in ".?!:;,"
+        return named and ends[node] > starts[node] and len(last[0]) > len(name) and page.kinds[node] in ("div", "li", "section", "article", "blockquote")
+
+    for node in range(1, len(starts)):
+        if ends[node] < 0 or not behind(node):
+            continue
+        first = page.lines[starts[node]]
+        own = children.get(node, [])
+        alike = sum(authored(c) for c in own)
+        if REMARKS.match(first[0]) or (alike >= 2 and alike == len(own) and len({page.kinds[c] for c in own}) == 1):
+            found.add(node)
+    return found
 
 
 def content_region(page: Lines, upper: np.ndarray) -> int:
@@ -260,15 +356,44 @@ def content_region(page: Lines, upper: np.ndarray) -> int:
     return at
 
 
+def regions(page: Lines, upper: np.ndarray) -> list[int]:
+    """The containers whose lines are the text: article and main elements that hold text, if that is not little beside
+    what the clusters chose, else the region of the clusters."""
+    region = content_region(page, upper)
+    around = [0] * len(page.kinds)  # the innermost article or main element
+    for node in range(1, len(around)):
+        around[node] = node if page.kinds[node] in ("article", "main") else around[page.parents[node]]
+    plain: dict[int, int] = {}
+    for x in page.lines:
+        if not x[4] and around[x[3]]:
+            plain[around[x[3]]] = plain.get(around[x[3]], 0) + len(x[0])
+    chosen = sum(len(x[0]) for x in page.lines if not x[4] and region <= x[3] < page.ends[region])
+    if not plain or 5 * sum(plain.values()) < chosen or any(region <= n < page.ends[region] for n in plain):
+        return [region]
+    most = max(plain.values())
+    return [n for n, size in plain.items() if 10 * size >= most]
+
+
 def main_text(html: str | None, sigma: float = 1.0) -> str:
     page = Lines()
-    page.feed((html or "").replace("<![", "<!"))  # marked sections are comments to a browser
+    page.feed(finished((html or "").replace("<![", "<!")))  # marked sections are comments to a browser
     page.close()
+    hidden = remarks(page) if page.lines else set()
+    if hidden:
+        covered = [False] * len(page.kinds)
+        for n in range(1, len(page.kinds)):  # parents come first
+            covered[n] = n in hidden or covered[page.parents[n]]
+        page.lines = [(*x[:4], x[4] or covered[x[3]], x[5]) for x in page.lines]
     if all(x[4] for x in page.lines):
         return ""
     ratios = np.array([np.log1p((len(x[0]) - x[2]) / max(1, x[1])) * (SIDE if x[4] else 1.0) for x in page.lines])
-    region = content_region(page, dense(smooth(ratios, sigma)))
-    return "\n".join(x[0] for x in page.lines if region <= x[3] < page.ends[region] and not x[4])
+    within = regions(page, dense(ratios, np.array([len(x[0]) for x in page.lines]), sigma))
+    inside = np.zeros(len(page.kinds) + 1, dtype=int)
+    for n in within:
+        inside[n] += 1
+        inside[page.ends[n]] -= 1
+    inside = np.cumsum(inside) > 0
+    return "\n".join(x[0] for x in page.lines if not x[4] and inside[x[3]])
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
