@@ -5,7 +5,8 @@ vector joins the cell of its nearest pivot, and a summary of each cell (rows, ra
 longest vector) goes to the driver, one row a pivot.  A query is first solved in its own
 cell, which gives a score it can already reach k times.  For another cell the smaller of
 q.p + |q| * radius and |q| * longest bounds every score in it; the query is replicated only
-to cells whose bound reaches that score (ties included), and solved there.  Cells are split
+to cells whose bound reaches that score (ties included), and solved there.  Which cells a query asks is kept as
+pairs of numbers; its vector is joined where it is solved.  Cells are split
 into blocks of bounded rows, so that a vector that a third of all rows share spreads over
 many tasks; a cell is replicated as often as the queries that ask for it fill parts of
 ``query_rows``, and not at all where none asks.
@@ -55,7 +56,7 @@ def _scores(queries: np.ndarray, data: np.ndarray) -> np.ndarray:
 
 
 CELL = "rid long, vec_id long, dim int, v array<long>, cell int, radius double, norm double"
-ASKED = "query long, query_id long, dim int, cell int, v array<long>"
+ASKED = "query long, query_id long, dim int, cell int"
 FOUND = "query long, query_id long, vec_id long, score long"
 
 
@@ -118,7 +119,7 @@ def spread_queries(asked: DataFrame, parts: DataFrame, blocks: DataFrame) -> Dat
     known = parts.join(blocks, ["dim", "cell"])
     part = F.pmod(F.xxhash64("query"), F.col("parts")).cast("int").alias("part")
     return asked.join(F.broadcast(known), ["dim", "cell"]).select(
-        "dim", "cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), part, "query", "query_id", "v"
+        "dim", "cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), part, "query", "query_id"
     )
 
 
@@ -163,7 +164,9 @@ def top_k(
     def solved(asked: DataFrame) -> DataFrame:
         parts = stage(shares(asked, query_rows), "shares")
         keys = ["dim", "cell", "block", "part"]
-        left = spread_queries(asked, parts, blocks).toDF(*keys, "query", "query_id", "v").groupBy(*keys)  # columns of its own
+        spread = spread_queries(asked, parts, blocks).toDF(*keys, "query", "query_id")  # columns of its own
+        own = queries.select(F.col("query").alias("_query"), F.col("v").alias("_v"))
+        left = spread.join(own, F.col("query") == F.col("_query")).select(*keys, "query", "query_id", F.col("_v").alias("v")).groupBy(*keys)
         return left.cogroup(spread_data(placed, parts, blocks).groupBy(*keys)).applyInPandas(lambda x, y: solve(x, y, k), FOUND)
 
     def elsewhere(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -172,18 +175,18 @@ def top_k(
         names = [c.split()[0] for c in ASKED.split(", ")]
         for batch in batches:
             made = []
-            for query, query_id, dim, home, v, least in batch[[*names, "least"]].itertuples(index=False):
+            for query, query_id, dim, home, v, least in batch[[*names, "v", "least"]].itertuples(index=False):
                 numbers, radii, norms = tables[dim]
                 q = np.array(v, dtype=float)
                 length = np.sqrt(q @ q)
                 bound = np.minimum(pivots[dim][numbers].astype(float) @ q + length * radii, length * norms)
                 fits = bound + 1e-12 * np.abs(bound) + 1 >= (least if least == least else -np.inf)
-                made += [(query, query_id, dim, c, v) for c in numbers[fits].tolist() if c != home]
+                made += [(query, query_id, dim, c) for c in numbers[fits].tolist() if c != home]
             yield pd.DataFrame(made, columns=names).astype({"query": "int64", "query_id": "int64", "dim": "int32", "cell": "int32"})
 
     ranked = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     rank = F.row_number().over(ranked)
-    home = stage(solved(queries), "home")
+    home = stage(solved(queries.drop("v")), "home")
     reached = home.withColumn("rank", rank).filter(F.col("rank") == k).select("query", F.col("score").cast("double").alias("least"))
     asked = stage(queries.join(reached, "query", "left").mapInPandas(elsewhere, ASKED), "asked")
     every = home.unionByName(solved(asked))
