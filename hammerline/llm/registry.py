@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from . import conversation_trie, decontam, html_text, langid, license_scan, line_runs, packing, pii, simhash, token_alignment, topk, toxicity, url_cascade
@@ -30,7 +29,6 @@ def queries() -> dict[str, Query]:
         "op11_token_alignment": lambda s, d: token_alignment.op11_token_alignment(table(s, d, "documents")),
         "op12_license_scan": lambda s, d: license_scan.op12_license_scan(table(s, d, "documents")),
         "op13_conversation_trie": lambda s, d: conversation_trie.op13_conversation_trie(table(s, d, "conversations")),
-        "pipeline": corpus_pipeline.run,
     }
 
 

@@ -15,4 +15,4 @@ def test_equals_sql(spark, key):
 def test_registered():
     names = set(entry.queries())
     assert set(registry.queries()) <= names and "pipeline" in names
-    assert [n for n in range(1, 11) if not any(k.startswith(f"op{n}_") for k in names)] == []
+    assert [n for n in range(1, 14) if not any(k.startswith(f"op{n}_") for k in names)] == []
