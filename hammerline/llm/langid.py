@@ -171,7 +171,7 @@ def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
 def train(docs: DataFrame, learn_from: Column, max_docs: int = 600, max_chars: int = 20_000) -> Model:
     from pyspark.sql import Window
 
-    may = docs.filter(learn_from)
+    may = docs.filter(learn_from & F.col("lang").isNotNull())
     df, total = document_frequencies(may)
     idf = np.log((1 + total) / (1 + df)) + 0.05
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
