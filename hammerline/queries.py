@@ -18,6 +18,7 @@ from .operators import quality as Q
 from .operators import reports as R
 from .operators import search as S
 from .operators.file_table import FileTable
+from .operators.ordered import IdCounter, OrderedPages, with_block_ids
 from .operators.rollup_state import DistinctRollup, RollupState
 from .operators.similar import similar_lots_all
 from .operators.text_index import TextIndex
@@ -272,6 +273,22 @@ def _ingest_ledger(s: SparkSession, d: str) -> DataFrame:
     return s.createDataFrame([tuple(whole.values())], ", ".join(f"{k} long" for k in whole))
 
 
+def _deep_page(m: Market) -> DataFrame:
+    """A page of the lots by time that is far from the first."""
+    pages = OrderedPages(m.plain_lots.drop("part_id"), [F.col("created_at").desc_nulls_first(), F.col("id"), F.col("final_price")])
+    return _changed(pages.page(50, 5000), "id", "auction_id", "created_at", "final_price")
+
+
+def _dealt_ids(m: Market) -> DataFrame:
+    """Ids for all sold lots and then for all others: what lies between the first and the last of each batch."""
+    counter = IdCounter(m.spark, new_folder(m.spark, "counter"))
+    made = None
+    for sold in (True, False):
+        batch = with_block_ids(m.plain_lots.filter(F.col("sold") == sold).select("auction_id", "sold"), counter)
+        made = batch if made is None else made.unionByName(batch)
+    return made.groupBy("sold").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("id").alias("ids"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))
+
+
 def market_queries() -> dict[str, Callable[[Market], DataFrame]]:
     found: dict[str, Callable[[Market], DataFrame]] = {
         "summary_stats": A.summary,
@@ -290,6 +307,8 @@ def market_queries() -> dict[str, Callable[[Market], DataFrame]]:
         "seasonal_quarterly": A.seasonal_quarterly,
         "geographic_analysis": A.geographic,
         "lots_list": lambda m: L.lots(m, 50, 100),
+        "lots_deep_page": _deep_page,
+        "lot_ids_dealt": _dealt_ids,
         "lots_filtered": lambda m: L.lots(m, house_id=HOUSE, artist_id=ARTIST, sold=False, price_min=0),
         "lots_price_range": lambda m: L.lots(m, sold=True, price_max=30_000),
         "lot_by_id": lambda m: L.lot(m, first_lot(m)),

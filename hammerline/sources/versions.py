@@ -3,17 +3,23 @@
 A writer adds files nobody reads yet and then one new version of the manifest, which a job commits by
 a rename; readers take the newest version that is complete, so they see the state before or after a
 change and nothing between.  A version can be written once: of two writers that started from the
-same state the second fails (on stores without atomic rename one writer at a time is assumed)."""
+same state the second fails.  That holds for the threads of a driver; of several drivers one at a time is assumed to
+write a table, as the check for an existing version and the write are two steps."""
 
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 
 
+#: Commits of one driver's threads take turns, so that exactly one of them makes a version.
+_turns = threading.Lock()
+
+
 class Conflict(RuntimeError):
     """Another writer has changed the table since it was read."""
 
@@ -58,7 +64,8 @@ class Manifest:
         names = [c.strip().split(" ")[0] for c in self.schema.split(",")]
         data = self.spark.createDataFrame(rows or [(None,) * len(names)], self.schema)
         try:
-            data.coalesce(1).write.mode("error").option("ignoreNullFields", "false").json(f"{self.path}/version={version + 1}")
+            with _turns:
+                data.coalesce(1).write.mode("error").option("ignoreNullFields", "false").json(f"{self.path}/version={version + 1}")
         except AnalysisException as error:
             if error.getCondition() != "PATH_ALREADY_EXISTS":
                 raise
