@@ -1,40 +1,50 @@
 """The most similar lots of every lot at once, by the score of ``listings.similar_lots``.
 
 A lot's similar ones share its artist (3), category (2) or price band (1), and go by score, then price.  Whatever
-scores alike lies in one of seven lists, each in the order of price: the lots of the same artist and category,
-of the same artist and of the same category, each inside the band and outside it, and all lots inside the band.  What
-stands before a lot in its list scores at least as much, so the best k of each list hold the best k of all.
+shares artist and category scores more than all else, so a lot whose artist and category have more than ``limit`` lots
+is done with these.  Such groups are small as a rule: up to ``LOCAL`` lots are ranked where they lie.
 
-A band of a list is a run of places in the group's order of price.  Groups of all kinds, with the band
+Other lots are answered by lists, each in the order of price: the lots of the same artist and category,
+of the same artist and of the same category, each inside the band and, where that has not enough, outside it; and where these
+have not enough, all lots inside the band.  What stands before a lot in its list scores at least as much, so the best k of each
+list hold the best k of all.
+
+A band of a list is a run of places in the group's order of price.  Groups that are asked for, with the band
 edges of their reference prices between the prices, are sorted across the cluster; running counts turn
-edges into places, and places are looked up by equality.  Lists are made once for each distinct
-price of a group and have at most 3 * (k + 1) entries, before they meet the lots.  No band is
+edges into places.  Places lie in blocks of ``BLOCK`` lots, which runs look up by equality.  Lists are made once for each distinct
+price of a group, have some ``limit`` entries, and are cut out of the blocks before they move.  No band is
 joined by comparison, and the sort splits a group or a price that a third of all lots share."""
 
 from __future__ import annotations
 
-from decimal import Decimal
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.market import Market
 from ..sources.versions import new_folder
 
 ALL, ARTIST, CATEGORY, BOTH = range(4)
-MONEY = "decimal(14,3)"
+#: Lots of an artist and category up to which each is compared with each.
+LOCAL = 128
+BLOCK = 64
+LIST = "array<struct<id: string, a: bigint, c: bigint, f: bigint>>"
+
+
+def _group(kind: int) -> Column:
+    none = F.lit(None).cast("long")
+    artist, category = F.col("a") if kind in (ARTIST, BOTH) else none, F.col("c") if kind in (CATEGORY, BOTH) else none
+    return F.struct(F.lit(kind).alias("kind"), artist.alias("a"), category.alias("c"))
 
 
-def _groups() -> Column:
-    """The groups of a lot: its kind and keys.  An unknown artist or category belongs to none."""
-    one = lambda kind, a, c: F.struct(F.lit(kind).alias("kind"), a.cast("long").alias("a"), c.cast("long").alias("c"))
-    artist, category, none = F.col("artist_id"), F.col("category_id"), F.lit(None)
-    return F.array_compact(
-        F.array(
-            one(ALL, none, none), F.when(artist.isNotNull(), one(ARTIST, artist, none)), F.when(category.isNotNull(), one(CATEGORY, none, category)),
-            F.when(artist.isNotNull() & category.isNotNull(), one(BOTH, artist, category)),
-        )
-    )
+def _of(lots: DataFrame, kind: int) -> DataFrame:
+    """The lots that belong to a group of the kind.  An unknown artist or category belongs to none."""
+    keys = {ALL: [], ARTIST: ["a"], CATEGORY: ["c"], BOTH: ["a", "c"]}[kind]
+    return lots.dropna(subset=keys).withColumn("g", _group(kind)) if keys else lots.withColumn("g", _group(kind))
 
 
 def _staged(df: DataFrame, name: str) -> DataFrame:
@@ -45,63 +55,133 @@ def _staged(df: DataFrame, name: str) -> DataFrame:
 
 def counted(rows: DataFrame, order: list, counts: Column) -> DataFrame:
     """Adds ``before``: how many rows with ``counts`` stand at or before each in the order over the whole table.
-    Parts of the sorted table are summed on their own; one sum a part reaches the driver."""
+    Parts of the sorted table are counted as they are written; one sum a part reaches the driver."""
     spark = rows.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    placed = _staged(ranged.select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_row")), "sorted")
-    sums = {r["_part"]: r["n"] for r in placed.groupBy("_part").agg(F.count_if(counts).alias("n")).collect()}
+    ranged = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("before", F.when(counts, 1).otherwise(0).cast("long"))
+
+    def running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, total = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            sums = total + np.cumsum(batch.column("before").to_numpy(zero_copy_only=False))
+            total = int(sums[-1]) if len(sums) else total
+            columns = [*batch.columns[:-1], pa.array(sums, pa.int64()), pa.array(np.full(len(sums), part), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "_part"])
+
+    shape = ranged.withColumn("_part", F.lit(None).cast("long")).schema
+    placed = _staged(ranged.mapInArrow(running, shape), "sorted")
+    sums = {r["_part"]: r["n"] for r in placed.groupBy("_part").agg(F.max("before").alias("n")).collect()}
     offset, total = {}, 0
     for part in sorted(sums):
         offset[part], total = total, total + sums[part]
-    starts = F.element_at(F.create_map(*[F.lit(x).cast("long") for kv in (offset or {0: 0}).items() for x in kv]), F.col("_part").cast("long"))
-    running = F.sum(F.when(counts, 1).otherwise(0)).over(Window.partitionBy("_part").orderBy("_row"))
-    return placed.withColumn("before", running + starts).drop("_part", "_row")
+    starts = F.element_at(F.create_map(*[F.lit(x).cast("long") for kv in (offset or {0: 0}).items() for x in kv]), F.col("_part"))
+    return placed.withColumn("before", F.col("before") + starts).drop("_part")
 
 
-def similar_lots_all(m: Market, limit: int = 10) -> DataFrame:
-    """(lot_id, place, id, similarity_score) for every lot, by score, price and id; lots without any are left out."""
-    zero = F.lit(0).cast("decimal(12,2)")
-    price = [F.nullif(F.col(c), zero) for c in ("final_price", "estimated_price_max", "estimated_price_min")]
-    own = m.lots.select("id", "artist_id", "category_id", "final_price", F.coalesce(*price, F.lit(1000).cast("decimal(12,2)")).alias("price"))
-    lots = _staged(own.withColumn("g", F.explode(_groups())), "lots")
-    low, high = ((F.col("price") * F.lit(Decimal(x))).cast(MONEY) for x in ("0.5", "1.5"))
+def _ranked(score: Column, f: Column, lot: Column) -> Column:
+    return F.struct((-score).alias("score"), f.isNull().alias("none"), (-f).alias("price"), lot.alias("id"))
+
+
+def _best(ranked: Column, limit: int) -> Column:
+    return F.slice(F.array_sort(F.array_distinct(ranked)), 1, limit)
+
+
+def _within(f: Column, price: Column) -> Column:
+    """Whether cents lie within half and one and a half of a price."""
+    return F.coalesce((f * 2 >= price) & (f * 2 <= price * 3), F.lit(False))
+
+
+def _compared(lots: DataFrame, limit: int) -> DataFrame:
+    """(lot_id, best) of lots whose groups of artist and category are small, but have ``limit`` others."""
+    member = F.struct(F.col("f").isNull().alias("none"), (-F.col("f")).alias("price"), "id", "f", "p")
+    groups = lots.groupBy("a", "c").agg(F.array_sort(F.collect_list(member)).alias("lots"))
+
+    def best(x: Column) -> Column:
+        other = lambda y: y["id"] != x["id"]
+        near = F.slice(F.filter("lots", lambda y: other(y) & _within(y["f"], x["p"])), 1, limit)
+        far = F.slice(F.filter("lots", lambda y: other(y) & ~_within(y["f"], x["p"])), 1, limit)
+        scored = lambda some, n: F.transform(some, lambda y: _ranked(F.lit(n), y["f"], y["id"]))
+        return F.slice(F.concat(scored(near, 6), scored(far, 5)), 1, limit)
+
+    return groups.select(F.inline(F.transform("lots", lambda x: F.struct(x["id"].alias("lot_id"), best(x).alias("best")))))
+
+
+def _listed(lots: DataFrame, asks: DataFrame, kinds: list[int], limit: int, most: int) -> DataFrame:
+    """(lot_id, best) from the lists of the groups ``g`` that ``asks`` names; no id stands more than ``most`` times in lots."""
+    data = None
+    for kind in kinds:
+        groups = _staged(asks.filter(F.col("g.kind") == kind).select("g").distinct(), "groups")
+        own = _of(lots, kind).join(groups, "g", "left_semi").select("g", (F.col("f") * 2).alias("v"), F.lit(1).alias("side"), "id", "a", "c", "f", F.lit(None).cast("long").alias("p"))
+        data = own if data is None else data.unionByName(own)
 
     # prices and band edges in one order: the upper edge before equal prices, the lower one behind them
-    data = lots.select("g", F.col("final_price").cast(MONEY).alias("v"), F.lit(1).alias("side"), "id", "artist_id", "category_id", "final_price", F.lit(None).cast("decimal(12,2)").alias("price"))
-    refs = lots.select("g", "price").distinct()
-    edges = refs.select("g", "price", F.inline(F.array(F.struct(high.alias("v"), F.lit(0).alias("side")), F.struct(low.alias("v"), F.lit(2).alias("side")))))
-    rows = data.unionByName(edges, allowMissingColumns=True)
-    order = [F.col("g"), F.col("v").desc_nulls_last(), F.col("side"), F.col("id"), F.col("price")]
-    found = _staged(counted(rows, order, F.col("side") == 1), "counted")
+    edges = asks.select("g", "p").distinct()
+    edges = edges.select("g", "p", F.inline(F.array(F.struct((F.col("p") * 3).alias("v"), F.lit(0).alias("side")), F.struct(F.col("p").alias("v"), F.lit(2).alias("side")))))
+    order = [F.col("g"), F.col("v").desc_nulls_last(), F.col("side"), F.col("id"), F.col("p")]
+    found = counted(data.unionByName(edges, allowMissingColumns=True), order, F.col("side") == 1)
     data = found.filter("side = 1")
-    groups = data.groupBy("g").agg((F.min("before") - 1).alias("first"), F.count(F.lit(1)).alias("size"))
-    edges = found.filter("side <> 1").groupBy("g", "price").agg(
+    groups = data.groupBy("g").agg((F.min("before") - 1).alias("first"), F.max("before").alias("last"))
+    edges = found.filter("side <> 1").groupBy("g", "p").agg(
         F.max(F.when(F.col("side") == 0, F.col("before"))).alias("above"), F.max(F.when(F.col("side") == 2, F.col("before"))).alias("within")
     )
 
-    # places from 1 in the whole order: the group's first, the band's first, the first below the band
-    take = limit + 1  # one may be the lot itself
-    bands = edges.join(groups, "g").withColumn("last", F.col("first") + F.col("size"))
+    # runs of places, behind the first and up to the last: inside the band, and if that isn't enough outside it
+    take = (limit + 1) * most  # one may be the lot itself
+    run = lambda start, end: F.struct(F.col(start).alias("start"), F.least(F.col(start) + take, F.col(end)).alias("end"))
+    outside = (F.col("g.kind") != ALL) & (F.col("within") - F.col("above") < take)
+    runs = F.concat(F.array(run("above", "within")), F.when(outside, F.array(run("first", "above"), run("within", "last"))).otherwise(F.array().cast("array<struct<start: bigint, end: bigint>>")))
+    runs = edges.join(groups, "g").select("g", "p", F.inline(runs)).filter("end > start")
+    block = lambda place: F.floor(place / BLOCK)
+    runs = runs.withColumn("block", F.explode(F.sequence(block(F.col("start")), block(F.col("end") - 1))))
+    blocks = data.groupBy(block(F.col("before") - 1).alias("block")).agg(F.array_sort(F.collect_list(F.struct("before", "id", "a", "c", "f"))).alias("rows"))
+    start, end = F.greatest(F.col("start"), F.col("block") * BLOCK), F.least(F.col("end"), (F.col("block") + 1) * BLOCK)
+    cut = F.slice("rows", (start - F.col("block") * BLOCK + 1).cast("int"), (end - start).cast("int"))
+    entries = F.transform(cut, lambda y: F.struct(y["id"].alias("id"), y["a"].alias("a"), y["c"].alias("c"), y["f"].alias("f")))
+    lists = runs.join(blocks, "block").select("g", "p", entries.cast(LIST).alias("others"))
+    lists = lists.groupBy("g", "p").agg(F.flatten(F.collect_list("others")).alias("others"))
 
-    def run(start: Column, end: Column) -> Column:
-        return F.when(end > start, F.sequence(start + 1, F.least(start + take, end))).otherwise(F.array().cast("array<bigint>"))
+    def ranked(y: Column) -> Column:
+        one = lambda same, n: F.when(same, n).otherwise(0)
+        return _ranked(one(y["a"] == F.col("a"), 3) + one(y["c"] == F.col("c"), 2) + one(_within(y["f"], F.col("p")), 1), y["f"], y["id"])
 
-    outside = F.when(F.col("g.kind") == ALL, F.array().cast("array<bigint>")).otherwise(
-        F.concat(run(F.col("first"), F.col("above")), run(F.col("within"), F.col("last")))
-    )
-    wanted = bands.select("g", "price", F.explode(F.concat(run(F.col("above"), F.col("within")), outside)).alias("before"))
-    entry = F.struct("id", "artist_id", "category_id", "final_price")
-    lists = wanted.join(data.select("before", entry.alias("other")), "before").groupBy("g", "price").agg(F.collect_list("other").alias("others"))
-
-    each = lots.select("g", "price", "id", "artist_id", "category_id").withColumnsRenamed({"id": "lot_id", "artist_id": "artist", "category_id": "category"})
-    pairs = each.join(lists, ["g", "price"]).withColumn("other", F.explode("others")).filter(F.col("other.id") != F.col("lot_id"))
-    score = (
-        F.when(F.col("other.artist_id") == F.col("artist"), 3).otherwise(0)
-        + F.when(F.col("other.category_id") == F.col("category"), 2).otherwise(0)
-        + F.when(F.col("other.final_price").between(low, high), 1).otherwise(0)
-    )
-    ranked = F.struct((-score).alias("score"), F.col("other.final_price").isNull().alias("none"), (-F.col("other.final_price")).alias("price"), F.col("other.id").alias("id"))
-    best = pairs.select("lot_id", ranked.alias("r")).groupBy("lot_id").agg(F.slice(F.array_sort(F.collect_set("r")), 1, limit).alias("best"))
-    listed = best.select("lot_id", F.posexplode("best").alias("at", "r"))
-    return listed.select("lot_id", (F.col("at") + 1).alias("place"), F.col("r.id").alias("id"), (-F.col("r.score")).alias("similarity_score"))
+    others = F.filter("others", lambda y: y["id"] != F.col("id"))
+    each = asks.join(lists, ["g", "p"]).select(F.col("id").alias("lot_id"), _best(F.transform(others, ranked), limit).alias("best"))
+    return _merged(each, limit)
+
+
+def _merged(each: DataFrame, limit: int) -> DataFrame:
+    return each.groupBy("lot_id").agg(_best(F.flatten(F.collect_list("best")), limit).alias("best")).filter(F.size("best") > 0)
+
+
+def similar_lots_all(m: Market, limit: int = 10) -> DataFrame:
+    """(lot_id, place, id, similarity_score) for every lot, by score, price and id; lots without any are left out."""
+    cents = {c: (F.col(c) * 100).cast("long") for c in ("final_price", "estimated_price_max", "estimated_price_min")}
+    price = F.coalesce(*[F.nullif(c, F.lit(0)) for c in cents.values()], F.lit(100_000)).cast("long")
+    keys = [F.col("artist_id").cast("long").alias("a"), F.col("category_id").cast("long").alias("c")]
+    lots = _staged(m.lots.select("id", *keys, cents["final_price"].alias("f"), price.alias("p")), "lots")
+
+    # groups of artist and category that aren't compared lot by lot: few lots, many, or ids that stand for several
+    named = lots.dropna(subset=["a", "c"])
+    sizes = named.groupBy("a", "c").agg(F.count(F.lit(1)).alias("n"))
+    odd = sizes.filter((F.col("n") <= limit) | (F.col("n") > LOCAL)).select("a", "c", (F.col("n") > LOCAL).alias("enough"))
+    repeated = _staged(lots.groupBy(F.xxhash64("id").alias("h")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "repeated")
+    most = repeated.agg(F.max("n")).first()[0] or 1
+    if most > 1:
+        again = named.withColumn("h", F.xxhash64("id")).join(repeated, "h", "left_semi").select("a", "c", F.lit(False).alias("enough"))
+        odd = odd.unionByName(again).groupBy("a", "c").agg(F.bool_and("enough").alias("enough"))
+    odd = _staged(odd, "odd")
+    compared = _compared(named.join(odd, ["a", "c"], "left_anti"), limit)
+
+    enough = named.join(odd.filter("enough"), ["a", "c"], "left_semi")
+    few = lots.filter("a IS NULL OR c IS NULL").unionByName(named.join(odd.filter("NOT enough"), ["a", "c"], "left_semi").select(lots.columns))
+    few = _staged(few, "few")
+    asks = _of(enough, BOTH).unionByName(_of(few, BOTH)).unionByName(_of(few, ARTIST)).unionByName(_of(few, CATEGORY))
+    asks = _staged(asks.select("id", "a", "c", "p", "g"), "asks")
+    listed = _staged(_listed(lots, asks, [BOTH, ARTIST, CATEGORY], limit, most), "listed")
+    full = F.size("best") >= limit
+    short = _staged(few.join(listed.filter(full).select(F.col("lot_id").alias("id")), "id", "left_anti"), "short")
+    if not short.isEmpty():
+        more = _listed(lots, _of(short, ALL).select("id", "a", "c", "p", "g"), [ALL], limit, most)
+        listed = listed.filter(full).unionByName(_merged(listed.filter(~full).unionByName(more), limit))
+    rows = compared.unionByName(listed).select("lot_id", F.posexplode("best").alias("at", "r"))
+    return rows.select("lot_id", (F.col("at") + 1).alias("place"), F.col("r.id").alias("id"), (-F.col("r.score")).alias("similarity_score"))

@@ -5,6 +5,7 @@ from decimal import Decimal
 
 import pytest
 
+from hammerline.operators import similar
 from hammerline.operators.similar import similar_lots_all
 
 
@@ -47,3 +48,29 @@ def test_no_loop_join_and_no_lots(spark):
     assert found.count() == 0
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_small_groups_move_no_lists(spark, monkeypatch):
+    """Lots with enough others of their artist and category are answered where these lie: no list is asked for them."""
+    some = random.Random(7)
+    money = lambda: None if some.random() < 0.2 else Decimal(some.randrange(9000)) / 4
+    rows = [(f"l{i}", i % 9, i % 3, money(), money(), money()) for i in range(180)] + [("x", None, 1, None, None, None), ("y", 77, 2, Decimal(5), None, None)]
+    asked = []
+    listed = similar._listed
+    monkeypatch.setattr(similar, "_listed", lambda lots, asks, *rest: asked.append(asks) or listed(lots, asks, *rest))
+    found = similar_lots_all(Lots(spark.createDataFrame(rows, SCHEMA)))
+    assert sorted(tuple(r) for r in found.collect()) == brute(rows, 10)
+    assert sorted({r["id"] for asks in asked for r in asks.select("id").collect()}) == ["x", "y"]
+
+
+def test_large_groups_and_repeated_ids(spark, monkeypatch):
+    """Groups beyond the bound of comparison go by lists; lots that share an id are merged and count once in a list."""
+    monkeypatch.setattr(similar, "LOCAL", 20)
+    some = random.Random(3)
+    money = lambda: None if some.random() < 0.2 else Decimal(some.randrange(400)) / 4
+    rows = [(f"l{i}", i % 2, i % 3 // 2, money(), money(), money()) for i in range(150)] + [(f"m{i}", 5, 5, money(), money(), money()) for i in range(15)]
+    found = similar_lots_all(Lots(spark.createDataFrame(rows, SCHEMA)))
+    assert sorted(tuple(r) for r in found.collect()) == brute(rows, 10)
+    twice = [(*r[:3], r[3], Decimal(1), Decimal(1)) for r in rows]
+    found = similar_lots_all(Lots(spark.createDataFrame([r for r in twice for _ in range(3)], SCHEMA)))
+    assert sorted(tuple(r) for r in found.collect()) == brute(twice, 10)
