@@ -2,8 +2,8 @@
 
 Passages are TF-IDF vectors over the words of the benchmark, weighted by inverse document
 frequencies over the whole corpus.  A randomised SVD, whose products Spark sums over the
-passages, fits the latent space on a bounded sample of the corpus's passages
-(``sample_passages``, ``task_passages`` of a task at most) and on the passages of the
+passages, fits the latent space on all passages of the corpus, added up under random signs
+in ``passage_sums`` rows (``survey``), and on the passages of the
 benchmark, the corpus's together carrying ``corpus_share`` of the weight; the space has far
 fewer dimensions than words, and fewer than passages from some 85 items on.  The
 benchmark's passages are then folded in.  Every document is cut into overlapping windows,
@@ -18,7 +18,7 @@ passage and ``answer`` of its last quarter.
 
 The benchmark is taken in blocks of ``block_items`` passages with a latent space each, and
 ``pass_items`` passages are searched in one reading of the corpus, after one that counts words
-and draws the sample; so what a task holds is bounded however long the benchmark grows.
+and adds up passages; so what a task holds is bounded however long the benchmark grows.
 
 Defined cases: null and empty texts leak nothing; items without words are never found;
 items of fewer than ``SHORT`` words are found only as a whole run of words; items longer than
@@ -31,7 +31,6 @@ stretches; an empty corpus or benchmark gives an empty result; other columns are
 from __future__ import annotations
 
 import hashlib
-import heapq
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -108,36 +107,90 @@ def place_bits(words: list[str]) -> dict[str, int]:
     return bits
 
 
-def survey(docs: DataFrame, vocabulary: frozenset[str], sample_passages: int, task_passages: int) -> tuple[dict[str, int], int, DataFrame]:
-    """Documents of the corpus that hold each word of the vocabulary, all documents, and a sample (column
-    words) of the corpus's different passages, the first by a hash, reduced to the vocabulary."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+def survey(docs: DataFrame, vocabulary: frozenset[str], passage_sums: int, task_cells: int) -> tuple[dict[str, int], int, DataFrame]:
+    """Documents of the corpus that hold each word of the vocabulary, all documents, and a sketch of all passages of the
+    corpus: each passage's words, with a random sign, are added to one of ``passage_sums`` rows (columns words and sums), so that
+    for passages x words A and rows S A the products (S A)'(S A) are those of A'A by expectation (count sketch).  Signs and
+    rows come from a hash of doc_id, text and place, sums are whole numbers: the same in any order.  A task
+    holds ``task_cells`` thousand sums before it passes them on."""
+    names = sorted(vocabulary)
+    shared = docs.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(names)})
+    width = max(1, len(names))
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        places = shared.value
+        known = places.keys()
         counts: Counter = Counter()
-        kept: list[tuple[int, int, list[str]]] = []  # a heap with the largest hash on top
+        cells, sums = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        rows: list[int] = []  # of passages that wait: row x width, sign, how many words; and their words
+        signs: list[int] = []
+        lengths: list[int] = []
+        at_words: list[int] = []
         total = 0
+
+        def summed() -> None:
+            nonlocal cells, sums
+            own = np.array(at_words, dtype=np.int64) + np.repeat(np.array(rows, dtype=np.int64), lengths)
+            signed = np.repeat(np.array(signs, dtype=np.int64), lengths)
+            cells, back = np.unique(np.concatenate((cells, own)), return_inverse=True)
+            sums = np.bincount(back, weights=np.concatenate((sums, signed)), minlength=len(cells)).astype(np.int64)
+            for waiting in (rows, signs, lengths, at_words):
+                waiting.clear()
+
+        def passed() -> pd.DataFrame:
+            cut = np.flatnonzero(np.diff(cells // width, prepend=-1))
+            words, values = np.split((cells % width).astype(np.int32), cut[1:]), np.split(sums, cut[1:])
+            return pd.DataFrame({"word": None, "n": 0, "row": cells[cut] // width, "words": [w.tobytes() for w in words], "sums": [v.tobytes() for v in values]})
+
         for batch in batches:
-            for text in batch["text"]:
+            for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 words = words_of(text)
-                counts.update(shared.value.intersection(words))
                 total += 1
-                first = zlib.crc32((text or "").encode("utf-8", "surrogatepass"))
+                counts.update(known & set(words))
+                first = zlib.crc32((text or "").encode("utf-8", "surrogatepass")) + (0 if pd.isna(doc_id) else int(doc_id)) * 0x27D4EB2F165667C5
                 for at in range(0, len(words), FIT_WORDS):
-                    h = (first + at * 0x9E3779B1) * 0x85EBCA6B % 0xFFFFFFFB
-                    if len(kept) < task_passages or h < -kept[0][0]:
-                        own = [w for w in words[at : at + FIT_WORDS] if w in shared.value]
-                        (heapq.heappush if len(kept) < task_passages else heapq.heapreplace)(kept, (-h, len(kept), own))
+                    own = [places[w] for w in set(words[at : at + FIT_WORDS]) if w in places]
+                    if own:
+                        h = (first + at * 0x9E3779B97F4A7C15 + 1) & 0xFFFFFFFFFFFFFFFF
+                        h = ((h ^ (h >> 31)) * 0xBF58476D1CE4E5B9) & 0xFFFFFFFFFFFFFFFF
+                        h = ((h ^ (h >> 29)) * 0x94D049BB133111EB) & 0xFFFFFFFFFFFFFFFF
+                        rows.append((h >> 16) % passage_sums * width)
+                        signs.append(1 if h >> 63 else -1)
+                        lengths.append(len(own))
+                        at_words += own
+                if len(at_words) >= 500_000:
+                    summed()
+                    if len(cells) > 1000 * task_cells:
+                        yield passed()
+                        cells, sums = cells[:0], sums[:0]
         counts[""] = total
-        yield pd.DataFrame({"word": list(counts), "n": np.array(list(counts.values()), dtype=np.int64), "h": 0, "words": None})
-        if kept:
-            yield pd.DataFrame({"word": None, "n": 0, "h": [-k[0] for k in kept], "words": [k[2] for k in kept]})
+        yield pd.DataFrame({"word": list(counts), "n": np.array(list(counts.values()), dtype=np.int64), "row": 0, "words": None, "sums": None})
+        summed()
+        if len(cells):
+            yield passed()
+
+    seen = stage(docs.select("doc_id", "text").mapInPandas(partial, "word string, n long, row long, words binary, sums binary"), "survey")
+    totals = seen.filter("word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("n"))
+    found = {r["word"]: r["n"] for r in totals.collect()}  # at most one row a word of the vocabulary
+
+    def added(frame: pd.DataFrame) -> pd.DataFrame:
+        words, back = np.unique(np.frombuffer(b"".join(frame["words"]), np.int32), return_inverse=True)
+        values = np.bincount(back, weights=np.frombuffer(b"".join(frame["sums"]), np.int64)).astype(np.int64)
+        return pd.DataFrame({"row": frame["row"].iloc[:1], "words": [words[values != 0].tobytes()], "sums": [values[values != 0].tobytes()]})
+
+    # what tasks have of a row is added in four groups, then these; a task has at most a number a word of it
+    sums = "row long, words binary, sums binary"
+    each = seen.filter("word IS NULL").select("row", "words", "sums", F.pmod(F.hash("words", "sums"), F.lit(4)).alias("some"))
+    whole = each.groupBy("row", "some").applyInPandas(added, sums).groupBy("row").applyInPandas(added, sums)
+
+    def named(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        back = sorted(shared.value)
+        for batch in batches:
+            words = [[back[i] for i in np.frombuffer(own, np.int32)] for own in batch["words"]]
+            yield pd.DataFrame({"words": words, "sums": [np.frombuffer(own, np.int64) for own in batch["sums"]]})
 
-    seen = stage(docs.select("text").mapInPandas(partial, "word string, n long, h long, words array<string>"), "survey")
-    sums = seen.filter("word IS NOT NULL").groupBy("word").agg(F.sum("n").alias("n"))
-    found = {r["word"]: r["n"] for r in sums.collect()}  # at most one row a word of the vocabulary
-    sample = seen.filter("word IS NULL").select("h", "words").dropDuplicates(["h"]).orderBy("h").limit(sample_passages)
-    return found, found.pop("", 0), stage(sample, "passages")
+    sketch = whole.select("words", "sums").mapInPandas(named, "words array<string>, sums array<long>")
+    return found, found.pop("", 0), stage(sketch, "passages")
 
 
 def randomised_svd(passages: DataFrame, terms: int, rank: int, seed: int = 0) -> np.ndarray:
@@ -272,29 +325,30 @@ class Index:
                     found[number, which] = (score, shared, kept)
 
 
-def weigh(sample: DataFrame, vocabulary: dict[str, int], idf: np.ndarray, weight: float) -> DataFrame:
-    """Sampled passages as sparse rows of length ``weight``."""
-    shared = sample.sparkSession.sparkContext.broadcast((vocabulary, idf))
+def weigh(sketch: DataFrame, vocabulary: dict[str, int], idf: np.ndarray, share: float) -> DataFrame:
+    """The rows of a sketch as sparse rows over the vocabulary, whose squares together are ``share``."""
+    shared = sketch.sparkSession.sparkContext.broadcast((vocabulary, idf))
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         places, idf = shared.value
         for batch in batches:
             out = []
-            for words in batch["words"]:
-                counts = Counter(places[w] for w in words if w in places)
-                if counts:
-                    at = sorted(counts)
-                    value = np.array([counts[i] * idf[i] for i in at])
-                    out.append((at, value / np.sqrt(value @ value) * weight))
+            for words, sums in zip(batch["words"], batch["sums"]):
+                own = sorted((places[w], n) for w, n in zip(words, sums) if w in places)
+                if own:
+                    out.append(([i for i, _ in own], [float(n * idf[i]) for i, n in own]))
             yield pd.DataFrame(out, columns=["at", "value"])
 
-    return sample.mapInPandas(rows, "at array<int>, value array<double>")
+    found = stage(sketch.mapInPandas(rows, "at array<int>, value array<double>"), "weighed")
+    squares = F.aggregate("value", F.lit(0.0), lambda total, v: total + v * v)
+    whole = found.agg(F.sum(squares)).first()[0] or 1.0
+    return found.select("at", F.transform("value", lambda v: v * float(np.sqrt(share / whole))).alias("value"))
 
 
 def build_index(
-    block: list[Part], df: dict[str, int], total: int, sample: DataFrame, n_sample: int, corpus_share: float, rank_share: float, least_rank: int
+    block: list[Part], df: dict[str, int], total: int, sketch: DataFrame, n_rows: int, corpus_share: float, rank_share: float, least_rank: int
 ) -> Index:
-    spark = sample.sparkSession
+    spark = sketch.sparkSession
     names = sorted({w for p in block for w in p.words})
     vocabulary = {w: i for i, w in enumerate(names)}
     idf = np.log((1 + total) / (1 + np.array([df.get(w, 0) for w in names], dtype=float))) + 0.01
@@ -308,7 +362,7 @@ def build_index(
         rows.append((at, value / norms[number]))
     weight = float(np.sqrt((1 - corpus_share) / len(block)))
     own = spark.createDataFrame([(at, (value * weight).tolist()) for at, value in rows], "at array<int>, value array<double>")
-    corpus = weigh(sample, vocabulary, idf, float(np.sqrt(corpus_share / max(1, n_sample))))
+    corpus = weigh(sketch, vocabulary, idf, corpus_share) if n_rows else own.limit(0)
     rank = max(least_rank, int(np.ceil(rank_share * len(block))))
     directions = randomised_svd(stage(own.unionByName(corpus), "rows"), len(names), rank)
     project = np.vstack((directions * idf[:, None], np.zeros((2, directions.shape[1])))).astype(np.float32)
@@ -345,17 +399,17 @@ def find_text_leaks(
     block_items: int = 256,
     pass_items: int = 4096,
     passage_words: int = 128,
-    sample_passages: int = 8192,
-    task_passages: int = 256,
+    passage_sums: int = 256,
+    task_cells: int = 2048,
 ) -> DataFrame:
     """The same for each different text of a doc_id, told by text_md5."""
     spark = docs.sparkSession
 
     def search(own: list[Part]) -> DataFrame:
-        df, total, sample = survey(docs, frozenset(w for p in own for w in p.words), sample_passages, task_passages)
-        n_sample = sample.count()
+        df, total, sketch = survey(docs, frozenset(w for p in own for w in p.words), passage_sums, task_cells)
+        n_rows = sketch.count()
         blocks = [own[at : at + block_items] for at in range(0, len(own), block_items)]
-        indexes = [build_index(block, df, total, sample, n_sample, corpus_share, rank_share, least_rank) for block in blocks]
+        indexes = [build_index(block, df, total, sketch, n_rows, corpus_share, rank_share, least_rank) for block in blocks]
         shared = [spark.sparkContext.broadcast(index) for index in indexes]  # each bounded by block_items passages
 
         def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

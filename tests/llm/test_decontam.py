@@ -154,3 +154,24 @@ def test_latent_products_are_no_plain_ones_and_find_paraphrases(spark):
         right = {(n, i) for n, (i, _) in enumerate(made) if i < 10_000}
         print(f"replaced {rate}: recall {len(got & right) / len(right):.3f}, precision {len(got & right) / max(1, len(got)):.3f}")
         assert len(got & right) >= least * len(right) and len(got - right) <= 2
+
+
+def test_every_passage_counts_in_the_fit(spark, tmp_path):
+    """The sums are those of all passages, whatever the number of rows and tasks, and come out the same when dealt anew."""
+    random.seed(4)
+    words = [f"w{i}" for i in range(40)]
+    texts = [(i, " ".join(random.choices(words, k=random.choice([5, 64, 150])))) for i in range(700)] + [(None, "w1 w2"), (9000, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    passages = [set(D.words_of(t)[at : at + D.FIT_WORDS]) for _, t in texts for at in range(0, len(D.words_of(t)), D.FIT_WORDS)]
+
+    def energy(dealt, rows, cells):
+        df, total, sketch = D.survey(dealt, frozenset(words), rows, cells)
+        assert total == len(texts) and df["w1"] == sum("w1" in D.words_of(t) for _, t in texts)
+        return sorted((tuple(r["words"]), tuple(r["sums"])) for r in sketch.collect())
+
+    one = energy(docs.coalesce(1), 100_003, 1)
+    assert one == energy(docs.repartition(5), 100_003, 256)
+    # with far more rows than passages nearly each has a row of its own
+    assert sum(n * n for _, sums in one for n in sums) == pytest.approx(sum(map(len, passages)), rel=0.05)
+    few = energy(docs, 64, 256)
+    assert len(few) == 64
