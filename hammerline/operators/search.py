@@ -15,21 +15,39 @@ from .listings import as_double
 from .text_index import TextIndex
 
 
-def match(df: DataFrame, words, terms: list[str]) -> DataFrame:
-    """Rows that hold any of the terms, with the column rank; no term matches nothing."""
-    if not terms:
-        return df.withColumn("rank", F.lit(0.0)).filter(F.lit(False))
-    kept = df.withColumn("_words", words).filter(F.arrays_overlap("_words", F.array(*[F.lit(t) for t in terms])))
-    return kept.withColumn("rank", term_rank(F.col("_words"), terms)).drop("_words")
-
-
 def _terms(query: str, english: bool) -> list[str]:
     terms = query_terms(query)
     return list(dict.fromkeys(stem(t) for t in terms if t not in STOP_WORDS)) if english else terms
 
 
-def _words(text: Column, english: bool) -> Column:
-    return stemmed(tokens(text)) if english else tokens(text)
+def word_forms(texts: DataFrame, terms: list[str]) -> dict[str, str]:
+    """The different words of the column text whose stem is one of the terms, with that stem; stop words are none.
+    Python sees each word of the corpus once, in rows of one word, and no text.  An English stem has a few forms, as many
+    as its endings, so what reaches the driver doesn't grow with the corpus."""
+
+    @F.pandas_udf("string")
+    def stems(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for series in batches:
+            yield series.map(lambda w: None if w in STOP_WORDS else stem(w))
+
+    words = texts.select(F.explode(tokens(F.col("text"))).alias("word")).distinct()
+    found = words.select("word", stems("word").alias("stem")).filter(F.col("stem").isin(terms))
+    return {r["word"]: r["stem"] for r in found.collect()}
+
+
+def match(df: DataFrame, text: Column, query: str, english: bool = False) -> DataFrame:
+    """Rows whose text holds any of the query's terms, with the column rank; no term matches nothing.
+    ``english`` leaves stop words out and compares stems: each word counts as the term whose stem it has."""
+    terms = _terms(query, english)
+    forms = word_forms(df.select(text.alias("text")), terms) if english and terms else {t: t for t in terms}
+    if not forms:
+        return df.withColumn("rank", F.lit(0.0)).filter(F.lit(False))
+    kept = df.withColumn("_words", tokens(text)).filter(F.arrays_overlap("_words", F.array(*[F.lit(w) for w in sorted(forms)])))
+    words = F.col("_words")
+    if english:
+        term = F.create_map(*[F.lit(x) for pair in sorted(forms.items()) for x in pair])
+        words = F.transform(F.filter(words, lambda w: w.isin(sorted(forms))), lambda w: F.element_at(term, w))
+    return kept.withColumn("rank", term_rank(words, terms)).drop("_words")
 
 
 def _lots_of(m: Market, titles: DataFrame, artist: str | None, category: str | None, house: str | None, price_min, price_max) -> DataFrame:
@@ -49,7 +67,7 @@ def search_lots(
 ) -> DataFrame:
     """Titles are matched before they meet lots, so each is cut into words once and only hits are joined.
     ``english`` leaves stop words out and compares stems."""
-    titles = match(m.titles, _words(F.coalesce("title", F.lit("")), english), _terms(query, english))
+    titles = match(m.titles, F.coalesce("title", F.lit("")), query, english)
     found = _lots_of(m, titles, artist, category, house, price_min, price_max)
     ordered = found.orderBy(F.desc("rank"), F.col("final_price").desc_nulls_last(), "id")
     return as_double(page(ordered, limit, offset).select(*SHOWN))
@@ -76,41 +94,19 @@ def search_lots_stored(
 
 def search_artists(m: Market, query: str, limit: int = 20, offset: int = 0, english: bool = False) -> DataFrame:
     text = F.concat(F.col("name"), F.lit(" "), F.coalesce("nationality", F.lit("")))
-    found = match(m.artists, _words(text, english), _terms(query, english))
+    found = match(m.artists, text, query, english)
     return page(found.orderBy(F.desc("rank"), "name", "id"), limit, offset)
 
 
 def search_texts(docs: DataFrame, query: str, limit: int = 20) -> DataFrame:
     """The same search over any (doc_id, text)."""
-    found = match(docs.select("doc_id", "text"), tokens(F.coalesce("text", F.lit(""))), query_terms(query))
+    found = match(docs.select("doc_id", "text"), F.coalesce("text", F.lit("")), query)
     return found.select("doc_id", "rank").orderBy(F.desc("rank"), "doc_id").limit(limit)
 
 
-def stemmed(words: Column) -> Column:
-    """Stems of token arrays without stop words; a task remembers the stems it has made."""
-
-    @F.pandas_udf("array<string>")
-    def stems(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known: dict[str, str] = {}
-
-        def of(word: str) -> str:
-            found = known.get(word)
-            if found is None:
-                if len(known) > 200_000:
-                    known.clear()
-                found = known[word] = stem(word)
-            return found
-
-        for series in batches:
-            yield pd.Series([[of(w) for w in own if w not in STOP_WORDS] for own in series])
-
-    return stems(words)
-
-
 def search_texts_stemmed(docs: DataFrame, query: str, limit: int = 20) -> DataFrame:
     """English form: stop words left out, words reduced to stems on both sides."""
-    terms = _terms(query, True)
-    found = match(docs.select("doc_id", "text"), stemmed(tokens(F.coalesce("text", F.lit("")))), terms)
+    found = match(docs.select("doc_id", "text"), F.coalesce("text", F.lit("")), query, english=True)
     return found.select("doc_id", "rank").orderBy(F.desc("rank"), "doc_id").limit(limit)
 
 

@@ -162,3 +162,16 @@ def test_lots_by_strategy_leave_pages_without_a_parser(spark):
     html = '<div class="lote"><h2>Vase</h2></div>'
     df = spark.createDataFrame([(1, "/1", html, "html_static"), (2, "/2", html, "browser"), (3, "/3", html, None)], "page_id long, url string, html string, strategy string")
     assert [r["page_id"] for r in H.lots_by_strategy(df).collect()] == [1]
+
+
+def test_no_text_reaches_python_for_stems(spark):
+    """Stems are made of the corpus's different words; documents are matched without Python."""
+    from hammerline.operators.search import search_texts_stemmed, word_forms
+
+    rows = [(1, "Licenses licensed the license"), (2, "licensing " * 3000), (3, "the and"), (4, None), (5, "releases")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert word_forms(docs, ["licens", "the"]) == {w: "licens" for w in ("licenses", "licensed", "license", "licensing")}
+    found = search_texts_stemmed(docs, "license releasing")
+    assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
+    assert [r["doc_id"] for r in found.collect()] == [2, 1, 5]
+    assert search_texts_stemmed(docs, "zebras").count() == 0
