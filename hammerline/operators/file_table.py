@@ -125,13 +125,16 @@ class FileTable:
         for k in keys:
             known = known & F.col(k).isNotNull()
         given = newest(new.filter(known), keys, order).unionByName(new.filter(~known))
+        path = f"{self.folder}/given-{uuid.uuid4().hex[:12]}"  # read by each step below, and made once
+        given.write.parquet(path)
+        given = self.spark.read.schema(given.schema).parquet(path)
         renamed = given.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_hit"))
         on = F.lit(True)
         for k in keys:
             on = on & (F.col(k) == F.col(f"_key_{k}"))
         low, high = given.agg(F.min(keys[0]), F.max(keys[0])).first()
         near = self._with_file(entries).filter(F.col(keys[0]).between(F.lit(low), F.lit(high)))  # prunes the scan
-        touched = self._touched(entries, near.join(renamed, on, "left_semi"))
+        touched = self._touched(entries, near.select(*keys, "_file").join(renamed.select(*[f"_key_{k}" for k in keys]), on, "left_semi"))
         changed = self._only(entries, touched).join(renamed, on, "left")
         changed = changed.withColumns({c: F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)) for c in columns})
         absent = given.join(near.select(*keys).distinct(), keys, "left_anti")

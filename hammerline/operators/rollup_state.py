@@ -13,6 +13,8 @@ each of several counts."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,8 +57,8 @@ class RollupState:
             *_sums(F.col("sign")), F.min(F.when(~out, paid)).alias("in_low"), F.max(F.when(~out, paid)).alias("in_high"),
             F.min(F.when(out, paid)).alias("out_low"), F.max(F.when(out, paid)).alias("out_high"),
         )
-        delta = delta.withColumnsRenamed({c: f"_{c}" for c in SUMS})
-        first, last = changes.agg(F.min("auction_id"), F.max("auction_id")).first()
+        delta = self._stored(delta.withColumnsRenamed({c: f"_{c}" for c in SUMS}), "delta")
+        first, last = delta.agg(F.min("auction_id"), F.max("auction_id")).first()
         reach = F.col("auction_id").between(F.lit(first), F.lit(last))  # prunes what is read
         both = delta.join(self.table.read().filter(reach), "auction_id", "left")
         lost = (F.col("out_low") <= F.col("low")) | (F.col("out_high") >= F.col("high"))
@@ -64,6 +66,9 @@ class RollupState:
             "auction_id", *[(F.coalesce(F.col(c), F.lit(0)) + F.col(f"_{c}")).cast(WIDE if c in SUMS[5:] else "long").alias(c) for c in SUMS],
             F.least("low", "in_low").alias("low"), F.greatest("high", "in_high").alias("high"), F.coalesce(lost, F.lit(False)).alias("lost"),
         )
+        summed = self._stored(summed, "summed")
+        if summed.filter("lost").isEmpty():
+            return self.table.upsert(summed.drop("lost"), ["auction_id"], [*SUMS, "low", "high"], [F.col("total_lots")])
         keys = summed.filter("lost").select("auction_id")
         again = lots.filter(reach).join(keys, "auction_id", "left_semi").groupBy("auction_id").agg(F.min(paid).alias("_low"), F.max(paid).alias("_high"))
         new = summed.join(again, "auction_id", "left").select(
@@ -71,6 +76,12 @@ class RollupState:
         )
         return self.table.upsert(new, ["auction_id"], [*SUMS, "low", "high"], [F.col("total_lots")])
 
+    def _stored(self, df: DataFrame, name: str) -> DataFrame:
+        """What several steps of a change read is made once, in the table's folder, where no reader of the table looks."""
+        path = f"{self.table.folder}/{name}-{uuid.uuid4().hex[:12]}"
+        df.write.parquet(path)
+        return self.table.spark.read.schema(df.schema).parquet(path)
+
     def rollup(self) -> DataFrame:
         """The published counters: sums of nothing are NULL, as in a recomputation; auctions without lots have 0."""
         state = self.table.read()

@@ -55,3 +55,22 @@ def test_bitmaps_at_several_grains(spark, tmp_path):
         plain = df.groupBy(*grain).agg(F.countDistinct("v").alias("v"), F.countDistinct("w").alias("w"))
         found = stored.counts(grain, ["v", "w"])
         assert sorted(map(tuple, found.collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+
+
+def test_a_change_reads_its_rows_once(spark, tmp_path):
+    """Signed rows are summed once, whatever the number of steps that need the sums."""
+    now = [(a, a, True, Decimal(a), None, None) for a in range(1, 50)]
+    state = RollupState.create(lots(spark, now), f"file://{tmp_path}/s", 4)
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    changes = spark.createDataFrame([(1, 7, 1000, True, Decimal(2), None, None), (-1, 8, 8, True, Decimal(8), None, None)], f"sign int, {LOT}")
+    after = [r for r in now if r[0] != 8] + [(7, 1000, True, Decimal(2), None, None)]
+    state.apply(changes.mapInPandas(count, changes.schema), lots(spark, after))
+    assert seen.value == 2
+    found = {r["auction_id"]: (r["total_lots"], r["low"], r["high"]) for r in state.rollup().collect()}
+    assert found[7] == (2, 2.0, 7.0) and found[8] == (0, None, None) and found[9] == (1, 9.0, 9.0)
