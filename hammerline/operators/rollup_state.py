@@ -7,8 +7,8 @@ auctions are read or rewritten.  Sums and counts are exact decimals and whole nu
 gives the same state.  A minimum or maximum that loses the row it came from is found again among the rows of
 those auctions alone.
 
-``DistinctRollup`` stores distinct values as bitmaps, one for each day, house and range of 32,768 values, which
-are merged to any coarser grain by or, without reading the facts again and without expanding a row for
+``DistinctRollup`` stores distinct values as bitmaps, one for each day, house and range of 64 values, so that values far from
+each other take no more room than a number each; they are merged to any coarser grain by or, without reading the facts again and without expanding a row for
 each of several counts."""
 
 from __future__ import annotations
@@ -105,14 +105,15 @@ class DistinctRollup:
         before the shuffle to a bitmap for each task, key and range of values."""
         each = F.inline(F.array(*[F.struct(F.lit(v).alias("counted"), F.col(v).cast("long").alias("value")) for v in values]))
         long = rows.select(*keys, each).filter("value IS NOT NULL")
-        bitmaps = long.groupBy(*keys, "counted", F.bitmap_bucket_number("value").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("value")).alias("bits"))
+        bit = F.expr("shiftleft(1L, cast(value & 63 AS int))")
+        bitmaps = long.groupBy(*keys, "counted", F.shiftright("value", 6).alias("bucket")).agg(F.bit_or(bit).alias("bits"))
         bitmaps.write.parquet(folder)
         return cls(rows.sparkSession, folder)
 
     def counts(self, grain: list[Column], values: list[str]) -> DataFrame:
         """The distinct values of each group of ``grain``: bitmaps of a range are merged, then ranges are summed."""
         names = self.spark.read.parquet(self.folder)
-        merged = names.groupBy(*grain, "counted", "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+        merged = names.groupBy(*grain, "counted", "bucket").agg(F.bit_or("bits").alias("bits"))
         group = [c for c in merged.columns if c not in ("counted", "bucket", "bits")]
-        sums = [F.coalesce(F.sum(F.when(F.col("counted") == v, F.bitmap_count("bits"))), F.lit(0)).alias(v) for v in values]
+        sums = [F.coalesce(F.sum(F.when(F.col("counted") == v, F.bit_count("bits"))), F.lit(0)).alias(v) for v in values]
         return merged.groupBy(*group).agg(*sums)

@@ -74,3 +74,12 @@ def test_a_change_reads_its_rows_once(spark, tmp_path):
     assert seen.value == 2
     found = {r["auction_id"]: (r["total_lots"], r["low"], r["high"]) for r in state.rollup().collect()}
     assert found[7] == (2, 2.0, 7.0) and found[8] == (0, None, None) and found[9] == (1, 9.0, 9.0)
+
+
+def test_values_far_apart_take_a_number_each(spark, tmp_path):
+    """No buffer of a wide range for each value, and the whole range of numbers."""
+    far = [i * 1_000_003 for i in range(-500, 500)] + [2**63 - 1, -(2**63), 2**63 - 64, 63, 64, -1, -64, -65]
+    df = spark.createDataFrame([(i % 2, v) for i, v in enumerate(far * 2)], "day int, v long")
+    stored = DistinctRollup.create(df, f"file://{tmp_path}/far", ["day"], ["v"])
+    assert dict(spark.read.parquet(stored.folder).dtypes)["bits"] == "bigint"
+    assert [r["v"] for r in stored.counts([], ["v"]).collect()] == [len(set(far))]
