@@ -67,9 +67,12 @@ class TextIndex:
         return F.pmod(F.xxhash64(term), F.lit(self.buckets)).cast("int")
 
     def _write(self, postings: DataFrame, number: int) -> tuple:
+        return self._write_blocks(posting_blocks(postings, self.span), number)
+
+    def _write_blocks(self, blocks: DataFrame, number: int) -> tuple:
         """A segment in folders by term hash; a frequent term's blocks go to several tasks and files."""
         name = f"segment-{uuid.uuid4().hex[:12]}"
-        blocks = posting_blocks(postings, self.span).withColumn("bucket", self._bucket(F.col("term")))
+        blocks = blocks.withColumn("bucket", self._bucket(F.col("term")))
         spread = blocks.repartition("bucket", F.pmod("range", F.lit(16))).sortWithinPartitions("bucket", "term", "range")
         spread.write.option("parquet.block.size", ROW_GROUP).partitionBy("bucket").parquet(f"{self.folder}/{name}")
         n = self.spark.read.schema(BLOCK).parquet(f"{self.folder}/{name}").agg(F.sum("n")).first()[0] or 0
@@ -143,8 +146,15 @@ class TextIndex:
         full = next((own for _, own in sorted(levels.items()) if len(own) >= self.fanout), None)
         if full is None:
             return False
-        each = self._blocks(full).select("term", "number", F.inline("postings"))
-        merged = self._write(self._live(each, entries).select("term", "doc_id", "tf"), max(e["number"] for e in full))
+        newest = max(e["number"] for e in full)
+        if any(e["kind"] == "removed" for e in entries):
+            each = self._blocks(full).select("term", "number", F.inline("postings"))
+            merged = self._write(self._live(each, entries).select("term", "doc_id", "tf"), newest)
+        else:  # nothing is hidden: blocks of a term and range are joined without taking them apart
+            joined = self._blocks(full).groupBy("term", "range").agg(
+                F.max("top").alias("top"), F.sum("n").alias("n"), F.array_sort(F.flatten(F.collect_list("postings"))).alias("postings")
+            )
+            merged = self._write_blocks(joined, newest)
         names = {e["name"] for e in full}
         stay = [e for e in entries if e["name"] not in names]
         oldest = min([e["number"] for e in stay if e["kind"] == "segment"] + [merged[2]])

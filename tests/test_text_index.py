@@ -104,3 +104,16 @@ def test_a_version_is_written_once(spark, tmp_path):
     assert manifest.rows()[1][0]["name"] == "a"
     manifest.commit(1, [])
     assert manifest.rows() == (2, []) and manifest.rows(1)[1][0]["n"] == 1
+
+
+def test_a_merge_without_removals_joins_whole_blocks(spark, tmp_path, monkeypatch):
+    index = TextIndex(spark, f"file://{tmp_path}/index", span=4, fanout=2)
+    index.add(made(spark, [(i, "oil " * (i + 1)) for i in range(0, 12, 2)]))
+    postings = index._postings(made(spark, [(i, "oil " * (i + 1)) for i in range(1, 12, 2)]))
+    version, entries = index.manifest.rows()
+    index.manifest.commit(version, [*map(tuple, entries), index._write(postings, 2)])
+    monkeypatch.setattr(index, "_write", None)  # takes postings one by one
+    assert index.merge()
+    blocks = index._blocks(index.manifest.rows()[1]).filter("term = 'oil'").orderBy("range").collect()
+    assert [(b["range"], b["n"], b["top"]) for b in blocks] == [(0, 4, 4), (1, 4, 8), (2, 4, 12)]
+    assert [(p["doc_id"], p["tf"]) for b in blocks for p in b["postings"]] == [(i, i + 1) for i in range(12)]
