@@ -74,3 +74,37 @@ def test_large_groups_and_repeated_ids(spark, monkeypatch):
     twice = [(*r[:3], r[3], Decimal(1), Decimal(1)) for r in rows]
     found = similar_lots_all(Lots(spark.createDataFrame([r for r in twice for _ in range(3)], SCHEMA)))
     assert sorted(tuple(r) for r in found.collect()) == brute(twice, 10)
+
+
+def test_bands_and_groups_across_parts(spark, monkeypatch):
+    """Parts of a few rows, read a few rows at a time: bands, groups and one price of many lots lie in several of them."""
+    monkeypatch.setattr(similar, "LOCAL", 12)
+    monkeypatch.setattr(similar, "PART", 12)
+    monkeypatch.setattr(similar, "CHUNK", 7)
+    some = random.Random(11)
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        for prices in (300, 3):
+            money = lambda: None if some.random() < 0.3 else Decimal(some.randrange(prices) * 100) / 4  # noqa: B023, E731
+            key = lambda n: None if some.random() < 0.4 else some.randrange(n)
+            rows = [(f"l{i}", key(4), key(2), money(), money(), money()) for i in range(90)]
+            rows += [(f"m{i}", None, 3, Decimal(50), None, None) for i in range(40)] + [("n1", None, 4, Decimal(70), None, None), ("n2", None, 4, None, None, None)]
+            found = similar_lots_all(Lots(spark.createDataFrame(rows, SCHEMA)), 3)
+            assert sorted(tuple(r) for r in found.collect()) == brute(rows, 3)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+
+
+def test_lists_dont_move(spark):
+    """Lots of one list each are shuffled and stored as entries and as what asks, not with all that is found."""
+    some = random.Random(5)
+    rows = [(f"lot-{i}", None, i % 3, Decimal(some.randrange(10**7)) / 100, None, None) for i in range(20_000)]
+    lots = spark.createDataFrame(rows, SCHEMA)
+    store, none = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway.new_array(spark.sparkContext._jvm.double, 0)
+    stages = lambda: {s.stageId(): s.shuffleWriteBytes() + s.diskBytesSpilled() + s.outputBytes() for s in map(listed().apply, range(listed().size()))}
+    listed = lambda: store.stageList(None, False, False, none, None)
+    before = stages()
+    similar_lots_all(Lots(lots)).write.format("noop").mode("overwrite").save()
+    moved = sum(n for stage, n in stages().items() if stage not in before)
+    assert 0 < moved < 200 * len(rows)
