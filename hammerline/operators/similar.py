@@ -295,9 +295,15 @@ def _listed(lots: DataFrame, asks: DataFrame, sizes: DataFrame, limit: int, most
     groups = _staged(groups.select("kind", F.col("a").cast("long"), F.col("c").cast("long"), "n", ((F.col("priced") < take) & (F.col("kind") != ALL)).alias("thin")), "groups")
     rows = asks.select("kind", F.when(F.col("alone"), ALONE).otherwise(MERGED).alias("is"), "a", "c", (F.coalesce("p", "f") * 3).alias("v"), "id")
     found = {r["kind"]: r["n"] for r in groups.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
+    kinds, own = [], lots
     for kind in sorted(found):
-        own = _of(lots, kind).join(groups.filter(F.col("kind") == kind).select(*_keys(kind), "thin"), _keys(kind)) if kind != ALL else _of(lots, kind).withColumn("thin", F.lit(False))
-        rows = rows.unionByName(own.filter("thin OR f IS NOT NULL").select("kind", F.lit(ENTRY).alias("is"), "a", "c", (F.col("f") * 2).alias("v"), "id"))
+        if kind != ALL:
+            own = own.join(groups.filter(F.col("kind") == kind).select(*_keys(kind), F.col("thin").alias(f"thin_{kind}")), _keys(kind), "left")
+        thin = F.col(f"thin_{kind}") if kind != ALL else F.lit(False)
+        kinds.append(F.when(thin | (thin.isNotNull() & F.col("f").isNotNull()), kind))
+    if kinds:
+        own = own.select(F.explode(F.array_compact(F.array(*kinds))).alias("kind"), F.lit(ENTRY).alias("is"), "a", "c", (F.col("f") * 2).alias("v"), "id")
+        rows = rows.unionByName(own)
 
     # the upper edge of a band before equal prices
     order = [*_group(), F.col("v").desc_nulls_last(), F.col("is"), F.col("id")]
@@ -337,13 +343,11 @@ def similar_lots_all(m: Market, limit: int = 10) -> DataFrame:
         small = sizes.dropna(subset=[key]).groupBy(key).agg(F.sum("n").alias("n")).filter(F.col("n") < (limit + 1) * most)
         small = _staged(small.select(key, F.lit(True).alias(f"small_{key}")), "small")
         few = few.join(small, key, "left").withColumn(f"small_{key}", F.col(key).isNull() | F.col(f"small_{key}").isNotNull())
-    several = F.when(F.col("small_a") & F.col("small_c"), 1).otherwise(0) + F.col("a").isNotNull().cast("int") + F.col("c").isNotNull().cast("int") > 1
-    few = few.withColumn("alone", ~several & F.lit(most == 1))
     enough = named.join(odd.filter("enough"), ["a", "c"], "left_semi").withColumn("alone", F.lit(most == 1))
-    asks = _of(enough, BOTH)
-    for kind in (BOTH, ARTIST, CATEGORY):
-        asks = asks.unionByName(_of(few, kind).select(asks.columns))
-    asks = asks.unionByName(_of(few.filter("small_a AND small_c"), ALL).select(asks.columns))
+    a, c = F.col("a").isNotNull(), F.col("c").isNotNull()
+    kinds = F.array(*[F.when(which, kind) for kind, which in ((BOTH, a & c), (ARTIST, a), (CATEGORY, c), (ALL, F.col("small_a") & F.col("small_c")))])
+    few = _staged(few.withColumn("kinds", F.array_compact(kinds)).withColumn("alone", (F.size("kinds") == 1) & F.lit(most == 1)).drop("small_a", "small_c"), "few")
+    asks = _of(enough, BOTH).unionByName(few.withColumn("kind", F.explode("kinds")).drop("kinds"))
     alone, each = _listed(lots, asks, sizes, limit, most)
     each = each.groupBy("lot_id").agg(F.collect_set(F.struct((-F.col("similarity_score")).alias("score"), F.col("place").isNull().alias("none"), (-F.col("place")).alias("price"), "id")).alias("best"))
     each = each.select("lot_id", F.posexplode(F.slice(F.array_sort("best"), 1, limit)).alias("at", "r"))
