@@ -214,34 +214,40 @@ def _handed(edges: dict[int, dict], take: int) -> dict[int, tuple[list[dict], li
 def _answering(limit: int, take: int, handed: dict[int, tuple[list[dict], list[dict]]], which: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Answers what asks in parts read in their order: ranked if it asks one list, otherwise all entries with their cents as place."""
 
-    def answered(rows: _Rows, head: int, until: int) -> pa.RecordBatch:
-        """Answers the rows up to one.  Rows start with so many entries that were handed on."""
+    chunk = CHUNK
+
+    def answered(rows: _Rows, head: int, until: int) -> Iterator[pa.RecordBatch]:
+        """Answers the rows up to one, some at a time.  Rows start with so many entries that were handed on."""
         entry = rows.is_a == ENTRY
         number = np.cumsum(entry) - entry
-        asks = head + np.flatnonzero(rows.is_a[head:until] == which)
         own = np.flatnonzero(entry)
         group = np.repeat(np.arange(len(rows.starts)), np.diff([*rows.starts, len(entry)]))
         bounds = np.append(number, len(own))[np.append(rows.starts, len(entry))]
         order = (group[own] + 1) * SPAN - _heights(rows.v[own], rows.known[own])
-        of, price = group[asks], rows.v[asks] // 3
-        end = np.searchsorted(order, (of + 1) * SPAN - _heights(price), "right")
-        place, some, near = _runs(number[asks], end, bounds[of], bounds[of + 1], take)
-        some &= near | (rows.kind[asks] != ALL)[:, None]
         ids = rows.rows["id"].combine_chunks()
-        row, j = np.nonzero(some)
-        other = pc.not_equal(ids.take(pa.array(own[place[row, j]])), ids.take(pa.array(asks[row]))).to_numpy(zero_copy_only=False)
-        some[row, j] = other
-        if which == ALONE:
-            rank = np.cumsum(some, axis=1)
-            some &= rank <= limit
-        row, j = np.nonzero(some)
-        x, y = asks[row], own[place[row, j]]
-        same = lambda k, has: (k[x] == k[y]) & has[x] & has[y]
-        score = 3 * same(rows.a, rows.has_a) + 2 * same(rows.c, rows.has_c) + near[row, j]
-        third = pa.array(rank[row, j], pa.int32()) if which == ALONE else pa.array(rows.v[y] // 2, pa.int64(), mask=~rows.known[y])
-        return _batch([ids.take(pa.array(x)), third, ids.take(pa.array(y)), pa.array(score, pa.int32())])
-
-    chunk = CHUNK
+        again = np.zeros(len(own), bool)  # an id that stands for several lots of one price counts once in a list
+        if take > limit + 1 and len(own) > 1:
+            same_id = pc.equal(ids.take(pa.array(own[1:])), ids.take(pa.array(own[:-1]))).to_numpy(zero_copy_only=False)
+            again[1:] = same_id & (order[1:] == order[:-1])
+        all_asks = head + np.flatnonzero(rows.is_a[head:until] == which)
+        for at in range(0, len(all_asks), chunk):
+            asks = all_asks[at : at + chunk]
+            of, price = group[asks], rows.v[asks] // 3
+            end = np.searchsorted(order, (of + 1) * SPAN - _heights(price), "right")
+            place, some, near = _runs(number[asks], end, bounds[of], bounds[of + 1], take)
+            some &= near | (rows.kind[asks] != ALL)[:, None]
+            row, j = np.nonzero(some)
+            some[row, j] = pc.not_equal(ids.take(pa.array(own[place[row, j]])), ids.take(pa.array(asks[row]))).to_numpy(zero_copy_only=False)
+            if which == ALONE:
+                some[row, j] &= ~again[place[row, j]]
+                rank = np.cumsum(some, axis=1)
+                some &= rank <= limit
+            row, j = np.nonzero(some)
+            x, y = asks[row], own[place[row, j]]
+            same = lambda k, has: (k[x] == k[y]) & has[x] & has[y]  # noqa: B023, E731
+            score = 3 * same(rows.a, rows.has_a) + 2 * same(rows.c, rows.has_c) + near[row, j]
+            third = pa.array(rank[row, j], pa.int32()) if which == ALONE else pa.array(rows.v[y] // 2, pa.int64(), mask=~rows.known[y])
+            yield _batch([ids.take(pa.array(x)), third, ids.take(pa.array(y)), pa.array(score, pa.int32())])
 
     def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, part, n, head, wanted = None, None, 0, 0, chunk
@@ -261,7 +267,7 @@ def _answering(limit: int, take: int, handed: dict[int, tuple[list[dict], list[d
                     if part != batch.column("part")[int(stop)].as_py() or n != batch.column("v")[int(stop)].as_py():
                         raise RuntimeError(f"part {part} was not read whole and in its order")
                     until = len(kept)
-                    yield answered(_Rows(pa.concat_tables([kept, pa.Table.from_pylist(handed[part][1], TYPES)])), head, until)
+                    yield from answered(_Rows(pa.concat_tables([kept, pa.Table.from_pylist(handed[part][1], TYPES)])), head, until)
                     part = None
                 elif part is not None and len(kept) >= wanted:
                     rows = _Rows(kept)
@@ -269,7 +275,7 @@ def _answering(limit: int, take: int, handed: dict[int, tuple[list[dict], list[d
                     own = rows.entries(begin, len(kept))
                     until = max(head, int(own[-take])) if len(own) >= take else max(head, begin)
                     if until > head:
-                        yield answered(rows, head, until)
+                        yield from answered(rows, head, until)
                     firsts = own[own < until][:take]
                     kept, head = pa.concat_tables([kept.take(firsts), kept[until:]]), len(firsts)
                     wanted = max(chunk, 2 * len(kept))
@@ -343,10 +349,13 @@ def similar_lots_all(m: Market, limit: int = 10) -> DataFrame:
         small = sizes.dropna(subset=[key]).groupBy(key).agg(F.sum("n").alias("n")).filter(F.col("n") < (limit + 1) * most)
         small = _staged(small.select(key, F.lit(True).alias(f"small_{key}")), "small")
         few = few.join(small, key, "left").withColumn(f"small_{key}", F.col(key).isNull() | F.col(f"small_{key}").isNotNull())
-    enough = named.join(odd.filter("enough"), ["a", "c"], "left_semi").withColumn("alone", F.lit(most == 1))
+    enough = named.join(odd.filter("enough"), ["a", "c"], "left_semi").withColumn("alone", F.lit(True))
     a, c = F.col("a").isNotNull(), F.col("c").isNotNull()
     kinds = F.array(*[F.when(which, kind) for kind, which in ((BOTH, a & c), (ARTIST, a), (CATEGORY, c), (ALL, F.col("small_a") & F.col("small_c")))])
-    few = _staged(few.withColumn("kinds", F.array_compact(kinds)).withColumn("alone", (F.size("kinds") == 1) & F.lit(most == 1)).drop("small_a", "small_c"), "few")
+    few = few.withColumn("kinds", F.array_compact(kinds)).withColumn("alone", F.size("kinds") == 1)
+    if most > 1:  # lots that share an id share an answer
+        few = few.withColumn("h", F.xxhash64("id")).join(repeated.select("h", F.lit(True).alias("shared")), "h", "left").withColumn("alone", F.col("alone") & F.col("shared").isNull())
+    few = _staged(few.select(*lots.columns, "kinds", "alone"), "few")
     asks = _of(enough, BOTH).unionByName(few.withColumn("kind", F.explode("kinds")).drop("kinds"))
     alone, each = _listed(lots, asks, sizes, limit, most)
     each = each.groupBy("lot_id").agg(F.collect_set(F.struct((-F.col("similarity_score")).alias("score"), F.col("place").isNull().alias("none"), (-F.col("place")).alias("price"), "id")).alias("best"))

@@ -32,6 +32,18 @@ def brute(rows, limit):
     return sorted(out)
 
 
+def merged(rows, limit):
+    """The same where lots that share an id share an answer: pairs that score and cost alike count once."""
+    found = {}
+    for x in rows:
+        p = next((v for v in x[3:] if v), Decimal(1000))
+        for y in rows:
+            score = 3 * (x[1] is not None and x[1] == y[1]) + 2 * (x[2] is not None and x[2] == y[2]) + (y[3] is not None and p / 2 <= y[3] <= p * 3 / 2)
+            if score and x[0] != y[0]:
+                found.setdefault(x[0], set()).add((-score, y[3] is None, -(y[3] or 0), y[0]))
+    return sorted((x, n, y[3], -y[0]) for x, ys in found.items() for n, y in enumerate(sorted(ys)[:limit], 1))
+
+
 @pytest.mark.parametrize("prices, keys", [(6, 3), (200, 2), (1, 2), (30, 40)])
 def test_every_pair(spark, prices, keys):
     some = random.Random(prices)
@@ -108,3 +120,17 @@ def test_lists_dont_move(spark):
     similar_lots_all(Lots(lots)).write.format("noop").mode("overwrite").save()
     moved = sum(n for stage, n in stages().items() if stage not in before)
     assert 0 < moved < 200 * len(rows)
+
+
+def test_a_repeated_id_merges_only_its_own_lots(spark, monkeypatch):
+    """Lots beside those that share an id are answered from one list, in which such an id counts once at a price."""
+    some = random.Random(9)
+    money = lambda: None if some.random() < 0.2 else Decimal(some.randrange(60)) / 4
+    rows = [(f"l{i}", None, i % 2, money(), Decimal(9), None) for i in range(80)]
+    rows += [r for r in rows[:12] for _ in range(2)] + [("l3", None, 1, Decimal(7), None, None), ("l4", 1, 0, Decimal(2), None, None)]
+    asked = []
+    listed = similar._listed
+    monkeypatch.setattr(similar, "_listed", lambda lots, asks, *rest: asked.append(asks) or listed(lots, asks, *rest))
+    found = sorted(tuple(r) for r in similar_lots_all(Lots(spark.createDataFrame(rows, SCHEMA)), 4).collect())
+    assert {r["id"] for r in asked[0].filter("NOT alone").collect()} == {f"l{i}" for i in range(12)}
+    assert found == merged(rows, 4)
